@@ -12,6 +12,7 @@ from precedent.errors import InputError
 from precedent.functions.text import is_blank, strip
 from precedent.schemas import (
     CASE_FIELDS,
+    DEFAULT_TOP_K,
     INVALID_ISSUE,
     INVALID_TOP_K,
     ISSUE_FIELDS,
@@ -149,13 +150,15 @@ def require_top_k(top_k) -> int:
     return top_k
 
 
-def require_issue_columns(issues: DataFrame) -> None:
+def require_issue_columns(issues: DataFrame, extra=()) -> None:
     """``query_id`` and ``issue`` are there, ``top_k`` may be, nothing else is.
 
+    ``extra`` names a vector column the caller announced.
+
     Unknown names are counted, not repeated: a column name may hold private text.
     """
     require_columns(issues, ("query_id", "issue"))
-    unknown = [name for name in issues.columns if name not in ISSUE_FIELDS]
+    unknown = [name for name in issues.columns if name not in (*ISSUE_FIELDS, *extra)]
     if unknown:
         raise InputError("unknown_columns", f"{len(unknown)} column(s) of the issues are not known.")
     if not isinstance(issues.schema["issue"].dataType, T.StringType):
@@ -166,12 +169,12 @@ def require_issue_columns(issues: DataFrame) -> None:
         raise InputError("top_k", "The top_k column must be an integer column.")
 
 
-def issue_status(issues: DataFrame, top_k: int) -> DataFrame:
+def issue_status(issues: DataFrame, top_k: int = DEFAULT_TOP_K, extra=()) -> DataFrame:
     """Trimmed issue, row ``top_k`` and ``status`` (null where the row is valid).
 
     Narrow: no shuffle, and placed before any join with the index.
     """
-    require_issue_columns(issues)
+    require_issue_columns(issues, extra)
     asked = F.col("top_k").try_cast("int") if "top_k" in issues.columns else F.lit(require_top_k(top_k))
     in_range = F.coalesce(asked.between(MIN_TOP_K, MAX_TOP_K), F.lit(False))
     status = F.when(~issue_is_valid(F.col("issue")), F.lit(INVALID_ISSUE)).when(
@@ -182,6 +185,7 @@ def issue_status(issues: DataFrame, top_k: int) -> DataFrame:
         strip(F.col("issue")).alias("issue"),
         asked.alias("top_k"),
         status.alias("status"),
+        *extra,
     )
 
 
