@@ -62,8 +62,9 @@ def vector_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each vector as a ticket, and a mixture with its neighbour as another."""
     pairs = _pairs(spark, sf_dir)
     share = F.lit(0.05) + F.lit(0.15) * (F.col("i") % 7)
+    mixtures = pairs.withColumn("vector", _mixed(share)).withColumn("i", F.col("i") + 1000000)
     both = pairs.select("i", "label", F.col("v").alias("vector")).unionByName(
-        pairs.select((F.col("i") + 1000000).alias("i"), "label", _mixed(share).alias("vector"))
+        mixtures.select("i", "label", "vector")
     )
     return both.select(
         F.concat(F.lit("SR"), F.col("i").cast("string")).alias("ticket_id"),
@@ -349,7 +350,9 @@ def document_issues(spark, sf_dir):
 def issue_status(spark, sf_dir):
     rows = validate.issue_status(document_issues(spark, sf_dir))
     return rows.select(
-        "query_id", F.length("issue").cast("long").alias("n_chars"), F.col("top_k").cast("long"), "status"
+        "query_id",
+        F.coalesce(F.length("issue"), F.lit(-1)).cast("long").alias("n_chars"),
+        F.col("top_k").cast("long"), "status"
     )
 
 
