@@ -30,7 +30,7 @@ def headings_once(answer: Column) -> Column:
 def headings_ordered(answer: Column) -> Column:
     """The first occurrences of the headings are in the required order."""
     places = F.array(*[F.locate(heading, answer) for heading in HEADINGS])
-    return F.array_sort(places) == places
+    return F.sort_array(places) == places
 
 
 def first_blank_heading(answer: Column) -> Column:
@@ -46,7 +46,7 @@ def first_blank_heading(answer: Column) -> Column:
 
 def unknown_citations(answer: Column, known_ids: Column, pattern: str = CITATION_PATTERN) -> Column:
     """Cited ids that were not among the ids given to the generator, sorted."""
-    return F.array_sort(F.array_except(citations(answer, pattern), known_ids))
+    return F.sort_array(F.array_except(citations(answer, pattern), known_ids))
 
 
 def contradicts_itself(answer: Column, pattern: str = CITATION_PATTERN) -> Column:

@@ -43,7 +43,7 @@ def section(answer: Column, heading: str, following: str | None = None) -> Colum
 def citations(answer: Column, pattern: str = CITATION_PATTERN) -> Column:
     """Distinct ticket ids named anywhere in the answer, sorted."""
     found = F.regexp_extract_all(answer, F.lit(rf"(?U)\b{pattern}\b"), F.lit(0))
-    return F.array_sort(F.array_distinct(found))
+    return F.sort_array(F.array_distinct(found))
 
 
 def retrieval_text(product: Column, issue: Column) -> Column:

@@ -23,6 +23,7 @@ TOKEN_PATTERN = "[a-z0-9à-ÿ]+"
 
 # A validated issue has at most 2000 characters, hence at most 1000 terms.
 BROADCAST_QUERIES = 4096
+BROADCAST_TERMS = 1_000_000
 BLOCK_POSTINGS = 2_000_000
 BLOCK_QUERIES = 4096
 MAX_BROADCAST_BLOCKS = 1_000_000
@@ -67,13 +68,15 @@ def term_weights(counts: DataFrame, vocab: DataFrame, key: str, n_texts: int) ->
 
     All terms of one text meet in one row, as they do in the text itself.
     """
-    weight = (F.col("tf") * F.col("idf")).alias("weight")
-    rows = _with_idf(counts, vocab, key, n_texts).select(key, F.struct("df", "term", weight).alias("t"))
-    grouped = rows.groupBy(key).agg(F.array_sort(F.collect_list("t")).alias("t"))
-    norm = F.sqrt(
-        F.aggregate("t", F.lit(0.0), lambda total, x: total + x["weight"] * x["weight"])
+    weight = F.col("tf") * F.col("idf")
+    rows = _with_idf(counts, vocab, key, n_texts).withColumn("weight", weight)
+    # The length is aggregated, not derived from the array: as a projected
+    # expression it would be evaluated anew for every element below.
+    grouped = rows.groupBy(key).agg(
+        F.sort_array(F.collect_list(F.struct("df", "term", "weight"))).alias("t"),
+        F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("norm"),
     )
-    return grouped.withColumn("norm", norm).select(
+    return grouped.select(
         key,
         F.col("t.term").alias("terms"),
         F.transform("t.weight", lambda w: w / F.col("norm")).alias("weights"),
@@ -93,9 +96,17 @@ def tfidf(
 def query_weights(
     queries: DataFrame, text: str, vocab: DataFrame, n_texts: int, pattern: str = TOKEN_PATTERN
 ) -> DataFrame:
-    """Weights of query texts under the vocabulary of a corpus."""
-    counts = term_counts(queries, "query_id", text, pattern)
-    return term_weights(counts, vocab, "query_id", n_texts)
+    """Weights of query texts under the vocabulary of a corpus.
+
+    The vocabulary is first reduced to the terms asked for: without a shuffle when
+    these are few enough to broadcast.
+    """
+    counts = materialize(term_counts(queries, "query_id", text, pattern))
+    terms = counts.select("term").distinct()
+    if terms.count() <= BROADCAST_TERMS:
+        terms = F.broadcast(terms)
+    asked = vocab.join(terms, "term", "left_semi")
+    return term_weights(counts, asked, "query_id", n_texts)
 
 
 # -- scoring ----------------------------------------------------------------
@@ -293,6 +304,7 @@ def lexical_top_k(
         hits = scan_hits(forward, small, k, lexical_scorer, positive_only=True)
     else:
         if guide is None:
+            forward = materialize(forward)
             blocks = ticket_blocks(forward, block_postings)
             guide = (blocks, *guides(forward, blocks))
         hits = block_hits(forward, materialize(queries), k, *guide, block_queries)

@@ -5,6 +5,10 @@ from pyspark.sql import functions as F
 
 from precedent.operators.skew import salted_join
 from precedent.schemas import RANK_DIGITS
+from precedent.session import materialize
+
+# Rows of (query id, rank, ticket id, score): some tens of megabytes.
+BROADCAST_ROWS = 500_000
 
 def top_k_per_query(scored: DataFrame, k, query_col: str = "query_id") -> DataFrame:
     """Rows ``rank <= k`` of each query: best score first, ticket id on ties.
@@ -18,14 +22,22 @@ def top_k_per_query(scored: DataFrame, k, query_col: str = "query_id") -> DataFr
     return scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
-def with_ticket_fields(ranked: DataFrame, tickets: DataFrame) -> DataFrame:
+def with_ticket_fields(
+    ranked: DataFrame, tickets: DataFrame, broadcast_rows: int = BROADCAST_ROWS
+) -> DataFrame:
     """Ticket texts joined to ``(query_id, rank, ticket_id, similarity_score)``.
 
     Texts stay out of the similarity join and are fetched only for the winners.
-    A ticket that wins often is salted.
+    The winners are kept, counted, and broadcast when few, so that the ticket table
+    is not shuffled; otherwise a ticket that wins often is salted.
     """
     fields = tickets.select("ticket_id", "product", "issue", "resolution")
-    return salted_join(ranked, fields, "ticket_id", "query_id").select(
+    ranked = materialize(ranked)
+    if ranked.count() <= broadcast_rows:
+        joined = fields.join(F.broadcast(ranked), "ticket_id")
+    else:
+        joined = salted_join(ranked, fields, "ticket_id", "query_id", "inner")
+    return joined.select(
         "query_id", "rank", "ticket_id", "product", "issue", "resolution", "similarity_score"
     )
 
@@ -40,7 +52,7 @@ def evidence_lists(retrieved: DataFrame) -> DataFrame:
         "resolution",
         F.coalesce("similarity_score", F.lit(0.0)).alias("similarity_score"),
     )
-    return retrieved.groupBy("query_id").agg(F.array_sort(F.collect_list(item)).alias("evidence"))
+    return retrieved.groupBy("query_id").agg(F.sort_array(F.collect_list(item)).alias("evidence"))
 
 
 def ranked_listing(retrieved: DataFrame) -> DataFrame:

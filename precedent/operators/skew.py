@@ -24,8 +24,9 @@ def salted_join(
     """
     if counts is None:
         counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    # A total order: both sides below have to agree on which keys are hot.
     hot = F.broadcast(
-        counts.orderBy(F.desc("n")).limit(HOT_KEYS).select(key, F.lit(True).alias("_hot"))
+        counts.orderBy(F.desc("n"), key).limit(HOT_KEYS).select(key, F.lit(True).alias("_hot"))
     )
     salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(salt_by), F.lit(SALTS))).otherwise(F.lit(0))
     every_salt = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(
