@@ -51,13 +51,14 @@ class BestHits:
         self.query_ids = queries["query_id"].combine_chunks()
         # A ticket has to reach the floor of its query to enter the list.
         lowest = 10.0**-RANK_DIGITS if positive_only else -np.inf
-        self.lowest = lowest
         self.floor = np.full(len(self.query_ids), lowest)
         self.q = np.empty(0, dtype=np.int64)
         self.ids = pa.array([], pa.string())
         self.score = np.empty(0)
 
     def add(self, tickets: pa.Table) -> None:
+        if not len(self.query_ids):
+            return
         ids = tickets["ticket_id"].combine_chunks().cast(pa.string())
         for offset, matrix in self.scorer(self.queries, tickets):
             rounded = np.round(matrix, RANK_DIGITS)

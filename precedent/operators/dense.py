@@ -40,6 +40,8 @@ MAX_CELLS = 4096
 # difference the ranking can see.
 SLACK = 1e-7
 
+UNEQUAL = "vectors must be present and of one length"
+
 
 def require_metric(metric: str) -> str:
     if metric not in (EXP_NEG_SQ_L2, COSINE):
@@ -73,7 +75,7 @@ def _matrix(column) -> np.ndarray:
     chunk = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
     sizes = pc.unique(pc.list_value_length(chunk))
     if len(sizes) != 1 or not sizes[0].is_valid:
-        raise ValueError("vectors must be present and of one length")
+        raise ValueError(UNEQUAL)
     flat = np.asarray(chunk.flatten(), dtype=np.float64)
     rows = flat.reshape(len(chunk), sizes[0].as_py())
     norms = np.linalg.norm(rows, axis=1, keepdims=True)
@@ -89,6 +91,8 @@ def dense_scorer(metric: str):
 
     def score(queries: pa.Table, tickets: pa.Table):
         left, right = _matrix(queries["vector"]), _matrix(tickets["vector"])
+        if left.shape[1] != right.shape[1]:
+            raise ValueError(UNEQUAL)
         tile = max(1, TILE_CELLS // max(1, len(right)))
         for start in range(0, len(left), tile):
             yield start, _score(left[start : start + tile] @ right.T, metric)
@@ -125,6 +129,8 @@ def train_pivots(vectors: DataFrame, n_rows: int, n_cells: int, seed: int = 42)
     sample = vectors if fraction == 1.0 else vectors.sample(fraction, seed=seed)
     raw = sample.select(array_to_vector(F.col("vector").cast("array<double>")).alias("raw"))
     unit = Normalizer(inputCol="raw", outputCol="features").transform(raw)
+    if n_cells == 1:
+        return np.array([unit.head().features.toArray()])
     model = KMeans(k=n_cells, seed=seed, maxIter=5, initMode="random").fit(unit)
     return np.array(model.clusterCenters(), dtype=np.float64)
 

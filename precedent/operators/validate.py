@@ -157,7 +157,7 @@ def require_issue_columns(issues: DataFrame, extra=()) -> None:
 
     Unknown names are counted, not repeated: a column name may hold private text.
     """
-    require_columns(issues, ("query_id", "issue"))
+    require_columns(issues, ("query_id", "issue", *extra))
     unknown = [name for name in issues.columns if name not in (*ISSUE_FIELDS, *extra)]
     if unknown:
         raise InputError("unknown_columns", f"{len(unknown)} column(s) of the issues are not known.")
