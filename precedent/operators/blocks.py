@@ -26,6 +26,7 @@ HITS_ARROW = pa.schema(
 
 # Cells of one score matrix held at a time (8 bytes each).
 TILE_CELLS = 4_000_000
+SCAN_TASKS = 4096
 
 # (query block, ticket block) -> iterator of (query offset, score matrix)
 Scorer = Callable[[pa.Table, pa.Table], Iterator[tuple[int, np.ndarray]]]
@@ -95,8 +96,9 @@ def scan_hits(
 ) -> DataFrame:
     """Stream the tickets past a small, already size-checked query block.
 
-    No shuffle of the tickets. Partitions are merged (narrow) to a few per core,
-    so that the best-k lists emitted stay few as the ticket table grows.
+    No shuffle of the tickets. Input partitions are merged (narrow) down to
+    ``SCAN_TASKS`` or a few per core, so that the number of best-k lists emitted
+    stops growing with the ticket table.
     """
     session = tickets.sparkSession
     ship_package(session)
@@ -109,7 +111,8 @@ def scan_hits(
                 best.add(pa.Table.from_batches([batch]))
         yield from best.table().to_batches()
 
-    tasks = 4 * session.sparkContext.defaultParallelism
+    # The core count is low while a cluster still adds executors, hence the floor.
+    tasks = max(SCAN_TASKS, 4 * session.sparkContext.defaultParallelism)
     return tickets.coalesce(tasks).mapInArrow(scan, HITS)
 
 

@@ -254,19 +254,17 @@ def reachable_cells(
     return (best >= floor[:, None] - SLACK) & (cells.n > 0)
 
 
-def _block_counts(visits: DataFrame, cells: Cells, block_rows: int) -> DataFrame:
-    """Blocks per cell on both sides; at most one row per pivot, so it is broadcast."""
-    spark = visits.sparkSession
-    sizes = pa.table(
+def _block_counts(visits: DataFrame, cells: Cells, block_rows: int) -> pa.Table:
+    """Blocks per visited cell on both sides; at most one row per pivot comes here."""
+    asked = visits.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).toArrow()
+    cell = asked["cell"].to_numpy()
+    return pa.table(
         {
-            "cell": pa.array(np.arange(len(cells.n)), pa.int32()),
-            "ticket_blocks": pa.array(np.maximum(1, -(-cells.n // block_rows)), pa.int32()),
+            "cell": pa.array(cell, pa.int32()),
+            "ticket_blocks": pa.array(-(-cells.n[cell] // block_rows), pa.int32()),
+            "query_blocks": pa.array(-(-asked["n"].to_numpy() // block_rows), pa.int32()),
         }
     )
-    asked = visits.groupBy("cell").agg(
-        F.ceil(F.count(F.lit(1)) / F.lit(block_rows)).cast("int").alias("query_blocks")
-    )
-    return asked.join(F.broadcast(spark.createDataFrame(sizes)), "cell")
 
 
 def _indexes(n: str) -> Column:
@@ -288,13 +286,16 @@ def visit_hits(
     """Best k tickets per query and visited block.
 
     Equi-join on (cell, ticket block, query block); a ticket meets every query
-    block of its cell and the other way round. Cells nobody visits are dropped
-    before the shuffle.
+    block of its cell and the other way round. Cells nobody visits are not read:
+    in a stored index the cell is a partition column.
     """
-    counts = F.broadcast(_block_counts(visits, cells, block_rows))
+    blocks = _block_counts(visits, cells, block_rows)
+    counts = F.broadcast(visits.sparkSession.createDataFrame(blocks))
+    visited = F.col("cell").isin(blocks["cell"].to_pylist())
     keys = ["cell", "ticket_block", "query_block"]
     tickets = (
-        assigned.join(counts, "cell")
+        assigned.where(visited)
+        .join(counts, "cell")
         .withColumn("ticket_block", _block_of("ticket_id", "ticket_blocks"))
         .withColumn("query_block", _indexes("query_blocks"))
         .select(*keys, "ticket_id", "vector")
@@ -343,7 +344,7 @@ def approximate_hits(
 ) -> DataFrame:
     """Candidates from the ``n_probe`` nearest cells only."""
     probes = _visits(
-        _query_vectors(queries),
+        queries,
         cells,
         lambda distances, held, _: nearest_cells(distances, held, k, n_probe),
     )
@@ -359,7 +360,6 @@ def exact_cell_hits(
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Candidates that contain every query's true best k."""
-    queries = _query_vectors(queries)
     first = materialize(approximate_hits(assigned, queries, cells, k, 1, metric, block_rows))
     # The k-th best score so far; no floor for a query that has fewer than k.
     floors = (
@@ -405,6 +405,8 @@ def dense_top_k(
             return _ranked(hits, k)
     if cells is None:
         tickets, cells = build_cells(_ticket_vectors(tickets), n_cells)
+    # Read several times below, and perhaps made by a model.
+    queries = materialize(_query_vectors(queries))
     if n_probe is None:
         hits = exact_cell_hits(tickets, queries, cells, k, metric, block_rows)
     else:
