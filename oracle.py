@@ -530,6 +530,7 @@ ORACLE = {
     "lexical_retrieve": CHAT_LEXICAL,
     "embed_topk": EMBED,
     "resolve_batch": RESOLVED,
+    "resolve_from_answers": RESOLVED,
     "resolve_stream": RESOLVED,
     "response_rows": RESOLVE
     + "SELECT query_id, status, answer, evidence_sufficient, evidence_ids FROM resolved",

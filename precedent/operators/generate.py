@@ -1,12 +1,13 @@
-"""Calling the caller's text generator from Spark tasks."""
+"""Answers from the caller's text generator, or from a table written elsewhere."""
 
 from collections.abc import Callable
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from precedent.functions.text import WHITESPACE
+from precedent.functions.text import WHITESPACE, is_blank, strip
 from precedent.schemas import GENERATOR_UNAVAILABLE, INVALID_MODEL_RESPONSE
 from precedent.session import ship_package
 
@@ -48,3 +49,25 @@ def generate(rows: DataFrame, generator: Generator) -> DataFrame:
             ).append_column("fault", pa.array([fault for _, fault in pairs], pa.string()))
 
     return rows.mapInArrow(run, schema)
+
+
+def look_up_answers(rows: DataFrame, answers: DataFrame, attempt: int) -> DataFrame:
+    """Adds ``answer`` and ``fault`` from ``answers (query_id, attempt, answer)``.
+
+    The same faults as for a generator: no row means it was not available, a blank
+    answer is an invalid one.
+    """
+    found = answers.where(F.col("attempt") == attempt).select(
+        F.col("query_id").cast("string").alias("query_id"),
+        F.col("answer").alias("given"),
+        F.lit(True).alias("present"),
+    )
+    fault = F.when(F.col("present").isNull(), F.lit(GENERATOR_UNAVAILABLE)).when(
+        is_blank(F.col("given")), F.lit(INVALID_MODEL_RESPONSE)
+    )
+    return (
+        rows.join(found, "query_id", "left")
+        .withColumn("answer", F.when(fault.isNull(), strip(F.col("given"))))
+        .withColumn("fault", fault)
+        .drop("given", "present")
+    )

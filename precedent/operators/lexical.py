@@ -35,10 +35,17 @@ STEP_PRODUCTS = 4_000_000
 
 
 def term_counts(texts: DataFrame, key: str, text: str, pattern: str = TOKEN_PATTERN) -> DataFrame:
-    """``(key, term, tf)``. Tokens of one text are combined before the shuffle."""
+    """``(key, term, tf)``.
+
+    Texts are placed by ``key`` before they are cut into tokens: the text is a
+    fraction of the size of its exploded tokens, and the count then needs no
+    shuffle of its own.
+    """
     tokens = F.regexp_extract_all(F.lower(text), F.lit(pattern), F.lit(0))
     return (
-        texts.select(key, F.explode(tokens).alias("term"))
+        texts.select(key, text)
+        .repartition(key)
+        .select(key, F.explode(tokens).alias("term"))
         .groupBy(key, "term")
         .agg(F.count(F.lit(1)).alias("tf"))
     )
@@ -86,10 +93,13 @@ def term_weights(counts: DataFrame, vocab: DataFrame, key: str, n_texts: int) ->
 def tfidf(
     texts: DataFrame, key: str, text: str, pattern: str = TOKEN_PATTERN
 ) -> tuple[DataFrame, DataFrame, int]:
-    """Weights, vocabulary and size of a corpus. Counts are kept reliably: both read them."""
+    """Weights, vocabulary and size of a corpus.
+
+    Counts and vocabulary are read several times and therefore kept.
+    """
     n_texts = texts.count()
     counts = materialize(term_counts(texts, key, text, pattern))
-    vocab = vocabulary(counts, n_texts)
+    vocab = materialize(vocabulary(counts, n_texts))
     return term_weights(counts, vocab, key, n_texts), vocab, n_texts
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from precedent.functions.grounding import violation
 from precedent.functions.prompts import abstain_answer, prompt_messages, repair_messages
 from precedent.operators.gate import gate_and_select
-from precedent.operators.generate import Generator, generate
+from precedent.operators.generate import Generator, generate, look_up_answers
 from precedent.operators.rank import evidence_lists
 from precedent.operators.validate import issue_status, require_top_k, require_unique_queries
 from precedent.operators.vectorize import Vectorizer
@@ -45,37 +45,58 @@ def _row(status, reason_code, answer, attempts):
     ]
 
 
+def generation_requests(routed: DataFrame) -> DataFrame:
+    """Queries that pass the gate, with the ``messages`` for the generator."""
+    return routed.where(F.col("route") == ROUTE_GENERATE).withColumn(
+        "messages", prompt_messages(F.col("issue"), F.col("generation_evidence"))
+    )
+
+
+def with_violation(answered: DataFrame, citation_pattern: str = CITATION_PATTERN) -> DataFrame:
+    """Adds the first rule an answer breaks, against the evidence that was sent."""
+    sent = F.col("generation_evidence.ticket_id")
+    return answered.withColumn("violation", violation(F.col("answer"), sent, citation_pattern))
+
+
+def repair_requests(answered: DataFrame) -> DataFrame:
+    """Queries whose answer was rejected, with the ``messages`` that ask for a repair."""
+    rejected = answered.where(F.col("fault").isNull() & F.col("violation.code").isNotNull())
+    return rejected.withColumn(
+        "messages",
+        repair_messages(F.col("messages"), F.col("answer"), F.col("violation.detail")),
+    ).drop("answer", "fault", "violation")
+
+
 def answer_routed(
     routed: DataFrame,
-    generator: Generator,
+    generator: Generator | DataFrame,
     citation_pattern: str = CITATION_PATTERN,
     generate_tasks: int | None = None,
 ) -> DataFrame:
     """Final rows for gated queries ``(query_id, issue, evidence, route, ...)``.
 
+    ``generator`` is a function of the messages, or a table ``(query_id, attempt,
+    answer)`` with answers to :func:`generation_requests` (attempt 1) and
+    :func:`repair_requests` (attempt 2) that were written elsewhere.
+
     Only queries routed to generation reach Python workers. Each answer is checked
     against the evidence that was sent; a rejected one is repaired once, and a
     second rejection is an error row. Answers are kept reliably after each pass, so
     that no check makes the generator run again.
     """
     null = F.lit(None)
-    # The whole answer is checked against what the generator was given.
-    sent = F.col("generation_evidence.ticket_id")
-    checked = violation(F.col("answer"), sent, citation_pattern)
 
-    def spread(rows):
-        return rows.repartition(generate_tasks, "query_id") if generate_tasks else rows
+    def answered(rows, attempt):
+        if isinstance(generator, DataFrame):
+            rows = look_up_answers(rows, generator, attempt)
+        else:
+            if generate_tasks:
+                rows = rows.repartition(generate_tasks, "query_id")
+            rows = generate(rows, generator)
+        return with_violation(materialize(rows), citation_pattern)
 
-    asked = routed.where(F.col("route") == ROUTE_GENERATE).withColumn(
-        "messages", prompt_messages(F.col("issue"), F.col("generation_evidence"))
-    )
-    first = materialize(generate(spread(asked), generator)).withColumn("violation", checked)
-    rejected = first.where(F.col("fault").isNull() & F.col("violation.code").isNotNull())
-    retry = rejected.withColumn(
-        "messages",
-        repair_messages(F.col("messages"), F.col("answer"), F.col("violation.detail")),
-    ).drop("answer", "fault", "violation")
-    second = materialize(generate(spread(retry), generator)).withColumn("violation", checked)
+    first = answered(generation_requests(routed), 1)
+    second = answered(repair_requests(first), 2)
 
     faults = first.where(F.col("fault").isNotNull())
     accepted = first.where(F.col("fault").isNull() & F.col("violation.code").isNull())
@@ -106,7 +127,7 @@ def resolve(
     index: TicketIndex,
     issues: DataFrame,
     vectorizer: Vectorizer,
-    generator: Generator,
+    generator: Generator | DataFrame,
     top_k: int = DEFAULT_TOP_K,
     min_score: float = GATE_SCORE,
     high_score: float = HIGH_CONFIDENCE_SCORE,
@@ -119,7 +140,8 @@ def resolve(
 
     One row per issue, invalid ones included. ``generator`` gets a list of
     ``{role, content}`` messages and returns text; it should be deterministic, as a
-    lost task is run again. ``retrieval`` goes to :func:`retrieve`.
+    lost task is run again. It may also be a table, see :func:`answer_routed`.
+    ``retrieval`` goes to :func:`retrieve`.
     """
     require_top_k(top_k)
     require_same_vectorizer(index, vectorizer)

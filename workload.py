@@ -27,7 +27,7 @@ from precedent.plans.evaluate import evaluate
 from precedent.plans.resolve import resolve, response_rows, run_metrics
 from precedent.plans.retrieve import retrieve
 from precedent.schemas import HEADINGS, ROUTE_ABSTAIN
-from precedent.session import fresh_path
+from precedent.session import fresh_path, materialize
 from precedent.sources.index_store import build_index, index_status, open_index
 from precedent.sources.tickets import read_cases_json, read_tickets_csv, ticket_documents
 from precedent.streaming.resolve_stream import RESULTS, resolve_stream
@@ -375,6 +375,7 @@ def csv_roundtrip(spark, sf_dir):
 def cases_json(spark, sf_dir):
     """Cases written as JSON arrays, one per file, and read back."""
     path = fresh_path(spark, "cases-json")
+    n_files = max(1, table(spark, sf_dir, "benchmark").count() // 50)
     item = F.col("item_id")
     cases = table(spark, sf_dir, "benchmark").select(
         F.struct(
@@ -383,7 +384,7 @@ def cases_json(spark, sf_dir):
             F.col("text").alias("query"),
             F.when(item % 2 == 0, item.cast("string")).alias("expected_ticket_id"),
         ).alias("case"),
-        F.pmod(F.xxhash64("item_id"), F.lit(max(1, table(spark, sf_dir, "benchmark").count() // 50))).alias("file"),
+        F.pmod(F.xxhash64("item_id"), F.lit(n_files)).alias("file"),
     )
     arrays = cases.groupBy("file").agg(
         F.to_json(F.collect_list("case"), {"ignoreNullFields": "false"}).alias("value")
@@ -570,6 +571,35 @@ def _resolved(spark, sf_dir):
     )
 
 
+def resolve_from_answers(spark, sf_dir):
+    """The same answers, taken from a table instead of a function."""
+    i = F.col("query_id").cast("long")
+    rows = gate_and_select(
+        request_issues(spark, sf_dir)
+        .select("query_id", "issue")
+        .join(evidence_lists(_requested(spark, sf_dir)), "query_id")
+    )
+    ticket = F.col("generation_evidence")[0]["ticket_id"]
+    texts = F.array(_answer_text(i, ticket), _answer_text(F.when(i % 2 == 0, 0).otherwise(2), ticket))
+    answers = rows.where(i % 41 != 0).select(
+        "query_id",
+        F.posexplode(F.when(i % 37 == 0, F.array(F.lit("  \n"))).otherwise(texts)).alias("at", "answer"),
+    )
+    answers = materialize(answers.select("query_id", (F.col("at") + 1).alias("attempt"), "answer"))
+    index = _vector_index(spark, sf_dir)
+    issues = request_issues(spark, sf_dir)
+    return _flat(resolve(index, issues, GIVEN, answers, citation_pattern=ANY_ID))
+
+
+def _requested(spark, sf_dir):
+    """Evidence of each request, cut to its own ``top_k``."""
+    asked = request_issues(spark, sf_dir).select("query_id", "top_k")
+    tickets = vector_tickets(spark, sf_dir)
+    found = dense.dense_top_k(tickets, vector_queries(spark, sf_dir), 5)
+    found = found.join(asked, "query_id").where(F.col("rank") <= F.col("top_k")).drop("top_k")
+    return with_ticket_fields(found, tickets)
+
+
 def _flat(rows: DataFrame) -> DataFrame:
     return rows.select(
         "query_id",
@@ -654,6 +684,7 @@ QUERIES = {
     "lexical_retrieve": lexical_retrieve,
     "embed_topk": embed_topk,
     "resolve_batch": resolve_batch,
+    "resolve_from_answers": resolve_from_answers,
     "response_rows": responses,
     "run_metrics": status_metrics,
     "resolve_stream": resolve_streamed,
