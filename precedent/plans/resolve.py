@@ -93,7 +93,7 @@ def answer_routed(
             if generate_tasks:
                 rows = rows.repartition(generate_tasks, "query_id")
             rows = generate(rows, generator)
-        return with_violation(materialize(rows), citation_pattern)
+        return materialize(with_violation(rows, citation_pattern))
 
     first = answered(generation_requests(routed), 1)
     second = answered(repair_requests(first), 2)
