@@ -27,12 +27,12 @@ from pyspark.sql import types as T
 from precedent.errors import InputError
 from precedent.operators.blocks import TILE_CELLS, cogroup_hits, collect_small, scan_hits
 from precedent.operators.rank import top_k_per_query
+from precedent.operators.skew import BROADCAST_BYTES
 from precedent.session import materialize, ship_package
 
 EXP_NEG_SQ_L2 = "exp_neg_sq_l2"
 COSINE = "cosine"
 
-BROADCAST_BYTES = 64 << 20
 BLOCK_ROWS = 16_384
 PIVOT_SAMPLE_ROWS = 50_000
 MAX_CELLS = 4096

@@ -13,17 +13,15 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from precedent.operators.blocks import TILE_CELLS, cogroup_hits, collect_small, scan_hits
+from precedent.operators.blocks import TILE_CELLS, cogroup_hits, scan_hits
 from precedent.operators.rank import top_k_per_query
-from precedent.operators.skew import salted_join
+from precedent.operators.skew import BROADCAST_BYTES, salted_join, text_bytes
 from precedent.session import materialize
 
 # Fixed value: a token is a run of these characters in lowercased text.
 TOKEN_PATTERN = "[a-z0-9à-ÿ]+"
 
-# A validated issue has at most 2000 characters, hence at most 1000 terms.
 BROADCAST_QUERIES = 4096
-BROADCAST_TERMS = 1_000_000
 BLOCK_POSTINGS = 2_000_000
 BLOCK_QUERIES = 4096
 MAX_BROADCAST_BLOCKS = 1_000_000
@@ -113,7 +111,7 @@ def query_weights(
     """
     counts = materialize(term_counts(queries, "query_id", text, pattern))
     terms = counts.select("term").distinct()
-    if terms.count() <= BROADCAST_TERMS:
+    if text_bytes(terms, "term") <= BROADCAST_BYTES:
         terms = F.broadcast(terms)
     asked = vocab.join(terms, "term", "left_semi")
     return term_weights(counts, asked, "query_id", n_texts)
@@ -285,8 +283,9 @@ def block_hits(
         visits.join(asked, "ticket_block")
         .withColumn("query_block", F.pmod(F.xxhash64("query_id"), F.col("query_blocks")).cast("int"))
         .select("query_id", *keys)
-        .join(queries, "query_id")
     )
+    # A query may visit very many blocks, and each visit carries its terms.
+    visitors = salted_join(visitors, queries, "query_id", "ticket_block", "inner")
     return cogroup_hits(tickets, visitors, keys, k, lexical_scorer, positive_only=True)
 
 
@@ -309,15 +308,18 @@ def lexical_top_k(
         F.col("ticket_id").cast("string").alias("ticket_id"), "terms", "weights"
     )
     queries = queries.select(F.col("query_id").cast("string").alias("query_id"), "terms", "weights")
-    small = collect_small(queries, broadcast_queries) if broadcast_queries else None
-    if small is not None:
-        hits = scan_hits(forward, small, k, lexical_scorer, positive_only=True)
+    queries = materialize(queries)
+    n_queries = queries.count()
+    exploded = queries.select(F.explode("terms").alias("term"))
+    small = n_queries <= broadcast_queries and text_bytes(exploded, "term") <= BROADCAST_BYTES
+    if small:
+        hits = scan_hits(forward, queries.toArrow(), k, lexical_scorer, positive_only=True)
     else:
         if guide is None:
             forward = materialize(forward)
             blocks = ticket_blocks(forward, block_postings)
             guide = (blocks, *guides(forward, blocks))
-        hits = block_hits(forward, materialize(queries), k, *guide, block_queries)
+        hits = block_hits(forward, queries, k, *guide, block_queries)
     return top_k_per_query(hits, k).select("query_id", "rank", "ticket_id", "similarity_score")
 
 

@@ -3,13 +3,10 @@
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from precedent.operators.skew import salted_join
+from precedent.operators.skew import BROADCAST_BYTES, salted_join, text_bytes
 from precedent.schemas import RANK_DIGITS
 from precedent.session import materialize
 
-# Rows of (query id, rank, ticket id, score): some tens of megabytes.
-BROADCAST_ROWS = 500_000
-
 def top_k_per_query(scored: DataFrame, k, query_col: str = "query_id") -> DataFrame:
     """Rows ``rank <= k`` of each query: best score first, ticket id on ties.
 
@@ -23,17 +20,17 @@ def top_k_per_query(scored: DataFrame, k, query_col: str = "query_id") -> DataFr
 
 
 def with_ticket_fields(
-    ranked: DataFrame, tickets: DataFrame, broadcast_rows: int = BROADCAST_ROWS
+    ranked: DataFrame, tickets: DataFrame, broadcast_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:
     """Ticket texts joined to ``(query_id, rank, ticket_id, similarity_score)``.
 
     Texts stay out of the similarity join and are fetched only for the winners.
-    The winners are kept, counted, and broadcast when few, so that the ticket table
+    The winners are kept, measured, and broadcast when small, so that the ticket table
     is not shuffled; otherwise a ticket that wins often is salted.
     """
     fields = tickets.select("ticket_id", "product", "issue", "resolution")
     ranked = materialize(ranked)
-    if ranked.count() <= broadcast_rows:
+    if text_bytes(ranked, "query_id", "ticket_id") <= broadcast_bytes:
         joined = fields.join(F.broadcast(ranked), "ticket_id")
     else:
         joined = salted_join(ranked, fields, "ticket_id", "query_id", "inner")

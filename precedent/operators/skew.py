@@ -6,6 +6,17 @@ from pyspark.sql import functions as F
 HOT_KEYS = 1024
 SALTS = 64
 
+# What may be sent to every executor, by measured size.
+BROADCAST_BYTES = 64 << 20
+
+
+def text_bytes(df: DataFrame, *columns: str) -> int:
+    """Size of some text columns over all rows, plus a little per row."""
+    size = F.lit(32)
+    for column in columns:
+        size = size + F.coalesce(F.octet_length(column), F.lit(0))
+    return int(df.agg(F.coalesce(F.sum(size), F.lit(0))).head()[0])
+
 
 def salted_join(
     rows: DataFrame,

@@ -480,7 +480,7 @@ def lexical_topk_blocks(spark, sf_dir):
 
 
 def lexical_retrieve(spark, sf_dir):
-    """All first user turns of the chats against the stored chat index."""
+    """All user turns of the chats against the stored chat index."""
     index = _chat_index(spark, sf_dir)
     turns = table(spark, sf_dir, "conversations").where(F.col("role") == "user")
     issues = turns.select(
