@@ -398,6 +398,8 @@ def dense_top_k(
     carries its assignment (a stored index does).
     """
     require_metric(metric)
+    if n_probe is not None and n_probe < 1:
+        raise InputError("n_probe", "n_probe must be at least 1.")
     if n_probe is None:
         small = _small_query_block(_query_vectors(queries), broadcast_bytes)
         if small is not None:

@@ -9,9 +9,14 @@ from precedent.functions.prompts import (
     repair_messages,
 )
 from precedent.operators.gate import gate_and_select
-from precedent.operators.rank import evidence_lists, ranked_listing, top_k_per_query
+from precedent.operators.rank import (
+    evidence_lists,
+    ranked_listing,
+    top_k_per_query,
+    with_ticket_fields,
+)
 from precedent.schemas import HEADINGS
-from tests.helpers import evidence
+from tests.helpers import evidence, tickets
 
 
 def gated(spark, lists):
@@ -65,6 +70,19 @@ def test_rank_ties_are_broken_by_id_and_missing_scores_are_zero(spark):
     assert ranked_listing(rows).where("rank = 1").head().similarity_score == 0.3
 
 
+def test_ticket_fields_come_by_broadcast_or_by_salted_join(spark):
+    ranked = spark.createDataFrame(
+        [(f"Q{i}", 1, "SR901" if i % 3 else f"SR90{i % 5 + 1}", 0.5) for i in range(60)],
+        "query_id string, rank int, ticket_id string, similarity_score double",
+    )
+    found = [
+        sorted(map(str, with_ticket_fields(ranked, tickets(spark), size).collect()))
+        for size in (1 << 20, 0)
+    ]
+    assert found[0] == found[1] and len(found[0]) == 60
+    assert "Mail Relay" in found[0][0]
+
+
 def test_evidence_and_prompts(spark):
     rows = evidence(spark, {"q": [("SR901", 0.9), ("SR902", 0.8)], "none": []})
     messages = prompt_messages(F.col("issue"), F.col("evidence"))

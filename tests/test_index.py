@@ -129,6 +129,13 @@ def test_queries_need_the_same_vectorizer(spark, tmp_path):
         retrieve(index, issues(spark, "an issue"), vector_column(), 1)
 
 
+def test_repeated_query_ids_are_refused(spark, tmp_path):
+    index = build_index(tickets(spark), str(tmp_path / "index"), tf_idf())
+    asked = issues(spark, "an issue")
+    with pytest.raises(InputError):
+        retrieve(index, asked.union(asked), tf_idf(), 1)
+
+
 def test_embedding_function_and_row_top_k(spark, tmp_path):
     model = lengths()
     index = build_index(tickets(spark), str(tmp_path / "index"), model, n_cells=2)

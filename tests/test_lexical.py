@@ -110,8 +110,9 @@ def test_queries_short_of_k_are_filled_by_id(spark):
 @pytest.mark.parametrize("how", ["left", "inner"])
 def test_salted_join_is_a_join(spark, monkeypatch, how):
     monkeypatch.setattr("precedent.operators.skew.HOT_KEYS", 2)
+    cold = F.concat(F.lit("k"), F.col("id") % 40)
     rows = spark.range(300).select(
-        "id", F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 40)).alias("key")
+        "id", F.when(F.col("id") % 3 == 0, "hot").otherwise(cold).alias("key")
     )
     table = spark.createDataFrame(
         [("hot", 1), ("hot", 2)] + [(f"k{i}", i) for i in range(30)], "key string, value int"
