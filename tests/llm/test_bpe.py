@@ -1,0 +1,144 @@
+import hashlib
+import random
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pyarrow as pa
+import pytest
+from tokenizers import Tokenizer
+
+from precedent.llm import bpe, token_files
+
+PATH = public_tokenizers.path("byte_bpe_50k.json")
+TEXTS = [
+    "",
+    " ",
+    "  ",
+    "word",
+    " word",
+    "two  spaces and\n\nlines \n end ",
+    "a <|endoftext|> b  <|endoftext|>",
+    "don't we'll it's I'd x'y '",
+    "Ñandú ciónñaz ß ö 漢字かな 🙂🙃   x \x1c y \x85z",
+    "123 4567 +1 (555) 000-1111",
+    "tab\tbetween \t mixed\r\n windows",
+    "-" * 5000,
+    "ab" * 4000 + "é" * 3000,
+    "\n" * 3000,
+    "=" * 700 + "x",
+]
+
+
+@pytest.fixture(scope="module")
+def library():
+    return Tokenizer.from_file(PATH)
+
+
+@pytest.fixture(scope="module")
+def table():
+    return bpe.MergeTable(PATH)
+
+
+def test_encoder_equals_library(library, table):
+    rng = random.Random(1)
+    alphabet = ["a", "b", "the", "ing", " ", "  ", "\n", "é", "ü", "9", "--", "'s", ".", "=", " ", "🙂"]
+    texts = TEXTS + ["".join(rng.choice(alphabet) for _ in range(rng.randint(1, 200))) for _ in range(300)]
+    for encoder in (bpe.transducer_encoder(table), token_files.library_encoder(PATH)):
+        found = encoder.encode(pa.array([*texts, None]))
+        for text, raw in zip([*texts, ""], found):
+            assert np.frombuffer(raw, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, text[:60]
+
+
+def test_encoder_takes_slices_and_nothing(table):
+    encoder = bpe.transducer_encoder(table)
+    array = pa.array(["x y", "a b c", None, "d"])
+    assert encoder.encode(array.slice(1, 2)) == encoder.encode(pa.array(["a b c", ""]))
+    assert encoder.encode(pa.array([], pa.string())) == []
+
+
+def test_transducer_is_stable_under_any_continuation(table):
+    """What is emitted before the end is what the whole run gives, in bounded memory."""
+    rng = random.Random(2)
+    for symbols in ("ab", "-=", "thein", "Ãé"):
+        run = "".join(rng.choice(symbols) for _ in range(6000)).encode()
+        machine, out = bpe.Transducer(table), []
+        for at in range(0, len(run), 700):
+            out += machine.feed(run[at : at + 700])
+            assert len(machine.held) <= table.lookahead + bpe.BLOCK + 700
+        assert out + machine.finish() == table.merge(run)
+    assert table.lookahead < 1000
+
+
+def test_short_and_long_merge_agree(table):
+    rng = random.Random(3)
+    for _ in range(300):
+        ids = [table.single[b] for b in bytes(rng.choices(b"the aning-.", k=rng.randint(1, 90)))]
+        assert table._merge_short(list(ids)) == table._merge_long(list(ids))
+
+
+def test_improper_merges_are_refused():
+    with pytest.raises(ValueError):
+        bpe.sufficient_lookahead([(b"ab", b"c"), (b"a", b"b")])
+
+
+def test_decoder_in_any_portions(library, table):
+    text = "Ñandú 🙂漢字 end"
+    ids = library.encode(text, add_special_tokens=False).ids
+    broken = [*ids[: len(ids) // 2], 50256, *ids[len(ids) // 3 :], table.single[0xF0]]
+    for given in (ids, broken, [table.single[0x80]]):
+        for size in (1, 2, 100):
+            decoder = bpe.StreamDecoder(table)
+            out = "".join(decoder.feed(given[i : i + size]) for i in range(0, len(given), size))
+            assert out + decoder.finish() == library.decode(given, skip_special_tokens=False)
+
+
+def test_round_trip_rows(spark, library):
+    rows = [(i, t, "x") for i, t in enumerate([*TEXTS, None])] + [(3, "word", "again"), (None, "no id", "y")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, ids_sha256 string")
+    found = sorted((r.doc_id if r.doc_id is not None else -1, r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in bpe.round_trip(docs, PATH).collect())
+    expected = []
+    for key, text, _ in rows:
+        ids = library.encode(text or "", add_special_tokens=False).ids
+        back = library.decode(ids, skip_special_tokens=False)
+        expected.append((key if key is not None else -1, len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(back.encode()).hexdigest()))
+    assert found == sorted(expected)
+    assert bpe.round_trip(docs.limit(0), PATH).count() == 0
+    encoded = bpe.encode_documents(docs, PATH).collect()
+    assert [r.token_ids for r in encoded if r.doc_id == 3] == [[4775], [4775]]
+
+
+def test_token_files(spark, library, tmp_path):
+    rows = [(100 - i, t) for i, t in enumerate([*TEXTS, None])] + [(100, "twice"), (100, "twice"), (None, "no id")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    path = str(tmp_path / "tokens")
+    token_files.write_token_files(docs, path, PATH)
+    positions = token_files.read_positions(spark, path).collect()
+    positions.sort(key=lambda r: r.start)
+    assert [r.doc_id for r in positions] == sorted((k for k, _ in rows), key=lambda k: -1 if k is None else k)
+    at = 0
+    for r in positions:
+        assert r.start == at
+        at += r.n_tokens
+    crc = {}
+    for r in token_files.with_crc(token_files.read_tokens(spark, path)).collect():
+        crc.setdefault(r.doc_id, set()).add((r.n_tokens, r.ids_crc32))
+    for key, text in rows:
+        ids = [*library.encode(text or "", add_special_tokens=False).ids, 0]
+        assert (len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())) in crc[key]
+    token_files.write_token_files(docs.limit(0), path + "0", PATH)
+    assert token_files.read_positions(spark, path + "0").count() == 0
+
+
+def test_token_files_are_read_by_part(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    docs = spark.range(3000).selectExpr("id as doc_id", "concat('some text ', id) as text")
+    path = str(tmp_path / "tokens")
+    token_files.write_token_files(docs, path, PATH)
+    file = next(f for f in sorted((tmp_path / "tokens").glob("*.parquet")) if pq.ParquetFile(f).metadata.num_rows)
+    meta = pq.ParquetFile(file).metadata.row_group(0)
+    assert all(meta.column(i).has_offset_index and meta.column(i).has_column_index for i in range(5))
+    one = token_files.read_tokens(spark, path).where("doc_id = 17").select("n_tokens")
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(doc_id,17)" in plan and "token_ids" not in plan.split("ReadSchema")[1]
