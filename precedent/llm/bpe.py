@@ -21,6 +21,7 @@ import hashlib
 import heapq
 import json
 import re
+from array import array
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -41,7 +42,7 @@ PATTERN = regex.compile(
 CUT = re.compile(r" (?=\S)")
 #: Characters of a pre-token that are fed to the transducer at once.
 BLOCK = 1024
-#: Pieces remembered per worker (about 150 MB); the memory is emptied when full.
+#: Pieces remembered per worker (about 80 MB); the memory is emptied when full.
 CACHE_PIECES = 400_000
 #: Longer pieces are not remembered.
 CACHE_CHARS = 64
@@ -209,7 +210,7 @@ def stream_ids(table: MergeTable, text: str) -> Iterator[list[int]]:
 
 
 class BatchEncoder:
-    """Ids of many texts, each distinct piece between spaces encoded once.
+    """Ids of many texts, each distinct piece between spaces encoded once. Little-endian machines.
 
     ``encode_piece`` gives the ids of one piece, ``encode_whole`` those of a text with special
     tokens or runs of white space, whose pieces do not stand alone.
@@ -217,26 +218,31 @@ class BatchEncoder:
 
     def __init__(
         self,
-        encode_pieces: Callable[[list[str]], list[list[int]]],
+        encode_piece: Callable[[str], list[int]],
         encode_whole: Callable[[str], list[int]],
         special: Iterable[str],
     ):
-        self.encode_pieces, self.encode_whole = encode_pieces, encode_whole
+        self.encode_piece, self.encode_whole = encode_piece, encode_whole
         self.special = list(special)
         self.known: dict[str, bytes] = {}
 
-    def _pieces(self, pieces: list[str]) -> list[bytes]:
-        known = self.known
-        found = [known.get(p) for p in pieces]
-        missing = [i for i, v in enumerate(found) if v is None]
-        if missing:
-            made = self.encode_pieces([pieces[i] for i in missing])
-            if len(known) + len(missing) > CACHE_PIECES:
-                known.clear()
-            for i, ids in zip(missing, made):
-                found[i] = np.array(ids, "<u4").tobytes()
-                if len(pieces[i]) <= CACHE_CHARS and len(known) < CACHE_PIECES:
-                    known[pieces[i]] = found[i]
+    def _piece(self, piece: str) -> bytes:
+        """Pre-tokens always end before a stop after a letter and around a line end between
+        non-spaces, so the parts of such a piece are looked up, not the piece."""
+        found = self.known.get(piece)
+        if found is not None:
+            return found
+        if piece[-1:] in (".", ",") and piece[-2:-1].isalpha():
+            return self._piece(piece[:-1]) + self._piece(piece[-1])
+        if "\n" in piece:
+            head, _, rest = piece.partition("\n")
+            if head and rest and not head[-1].isspace() and not rest[0].isspace():
+                return self._piece(head) + self._piece("\n") + self._piece(rest)
+        found = array("I", self.encode_piece(piece)).tobytes()
+        if len(piece) <= CACHE_CHARS:
+            if len(self.known) >= CACHE_PIECES:
+                self.known.clear()
+            self.known[piece] = found
         return found
 
     def encode(self, texts: pa.Array) -> list[bytes]:
@@ -249,10 +255,14 @@ class BatchEncoder:
         encoded = lists.flatten().dictionary_encode()
         index = encoded.indices.to_numpy().astype(np.int64)
         starts = starts - starts[0]
-        distinct = encoded.dictionary.to_pylist()
+        distinct = encoded.dictionary.to_numpy(zero_copy_only=False).tolist()
         first = [distinct[i] for i in index[starts[:-1]]]
         index[starts[:-1]] = len(distinct) + np.arange(len(first))
-        ids = self._pieces([*(" " + p for p in distinct), *first])
+        pieces = [*map(" ".__add__, distinct), *first]
+        ids = list(map(self.known.get, pieces))
+        for i, found in enumerate(ids):
+            if found is None:
+                ids[i] = self._piece(pieces[i])
         ids = pa.array(ids, pa.large_binary()).take(pa.array(index))
         ends = ids.buffers()[1]
         bounds = np.frombuffer(ends, np.int64)[ids.offset + starts]
@@ -269,13 +279,13 @@ class BatchEncoder:
 
 
 def transducer_encoder(table: MergeTable) -> BatchEncoder:
-    def pieces(many: list[str]) -> list[list[int]]:
-        return [[i for ids in pre_token_ids(table, p) for i in ids] for p in many]
+    def piece(text: str) -> list[int]:
+        return [i for ids in pre_token_ids(table, text) for i in ids]
 
     def whole(text: str) -> list[int]:
         return [i for ids in stream_ids(table, text) for i in ids]
 
-    return BatchEncoder(pieces, whole, table.special)
+    return BatchEncoder(piece, whole, table.special)
 
 
 _workers: dict[str, tuple[MergeTable, BatchEncoder]] = {}

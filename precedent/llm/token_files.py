@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from precedent.llm.bpe import BatchEncoder
+from precedent.llm.bpe import PATTERN, BatchEncoder, byte_alphabet
 from precedent.llm.common import slices
 from precedent.session import ship_package
 
@@ -38,7 +38,10 @@ _workers: dict[str, BatchEncoder] = {}
 
 
 def library_encoder(path: str) -> BatchEncoder:
-    """The tokenizers library behind a memory of pieces, made once per Python worker."""
+    """The tokenizers library behind a memory of pieces, made once per Python worker.
+
+    Its model is given the pre-tokens of a byte-level file; any other file is refused.
+    """
     if path not in _workers:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks side by side
         from tokenizers import Tokenizer
@@ -46,15 +49,26 @@ def library_encoder(path: str) -> BatchEncoder:
         library = Tokenizer.from_file(path)
         library.no_truncation()
         library.no_padding()
+        if type(library.pre_tokenizer).__name__ != "ByteLevel" or library.normalizer is not None:
+            raise ValueError("not a byte-level tokenizer without normalizer")
+
+        model, of_byte = library.model, {b: c for c, b in byte_alphabet().items()}
 
-        def pieces(many: list[str]) -> list[list[int]]:
-            return [e.ids for e in library.encode_batch_fast(many, add_special_tokens=False)]
+        def piece(text: str) -> list[int]:
+            if text[:1] == " " and text[1:].isalpha():
+                raw = text.encode().decode("latin-1").translate(of_byte)
+                return [token.id for token in model.tokenize(raw)]
+            ids: list[int] = []
+            for word in PATTERN.findall(text):
+                raw = word.encode().decode("latin-1").translate(of_byte)
+                ids += [token.id for token in model.tokenize(raw)]
+            return ids
 
         def whole(text: str) -> list[int]:
             return library.encode(text, add_special_tokens=False).ids
 
         special = [t.content for t in library.get_added_tokens_decoder().values()]
-        _workers[path] = BatchEncoder(pieces, whole, special)
+        _workers[path] = BatchEncoder(piece, whole, special)
     return _workers[path]
 
 
