@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from precedent.llm import bpe, token_files
+from precedent.llm import bpe, quality_rules, secret_scan, token_files
 from precedent.llm.common import read_table
 from precedent.session import fresh_path
 
@@ -26,7 +26,23 @@ def op6_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(read_table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = quality_rules.quality_columns(read_table(spark, sf_dir, "documents"))
+    return rows.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = secret_scan.scan_secrets(read_table(spark, sf_dir, "documents"))
+    return rows.select(
+        "doc_id", "n_assign", "n_access", "n_hex", F.sha2("base_text", 256).alias("base_sha256"), "spans"
+    )
+
+
 QUERIES = {
     "op5_token_files": op5_token_files,
     "op6_bpe_round_trip": op6_bpe_round_trip,
+    "op8_quality_rules": op8_quality_rules,
+    "op9_secret_scan": op9_secret_scan,
 }
