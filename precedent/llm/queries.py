@@ -6,13 +6,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from precedent.llm import bpe, quality_rules, secret_scan, token_files
+from precedent.llm import bpe, language, quality_classifier, quality_rules, secret_scan, token_files
 from precedent.llm.common import read_table
 from precedent.session import fresh_path
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = (read_table(spark, sf_dir, name) for name in ("documents", "labels"))
+    return quality_classifier.quality_scores(docs, labels)
+
+
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.language_rows(read_table(spark, sf_dir, "documents"))
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "token-files")
     token_files.write_token_files(read_table(spark, sf_dir, "documents"), path, TOKENIZER)
@@ -41,6 +50,8 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_quality_classifier": op1_quality_classifier,
+    "op4_language": op4_language,
     "op5_token_files": op5_token_files,
     "op6_bpe_round_trip": op6_bpe_round_trip,
     "op8_quality_rules": op8_quality_rules,
