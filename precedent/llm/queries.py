@@ -6,7 +6,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from precedent.llm import bpe, language, quality_classifier, quality_rules, secret_scan, token_files
+from precedent.llm import (
+    bpe,
+    language,
+    ngram_join,
+    quality_classifier,
+    quality_rules,
+    secret_scan,
+    token_files,
+)
 from precedent.llm.common import read_table
 from precedent.session import fresh_path
 
@@ -35,6 +43,10 @@ def op6_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(read_table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar_documents(read_table(spark, sf_dir, "documents"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = quality_rules.quality_columns(read_table(spark, sf_dir, "documents"))
     return rows.select(
@@ -54,6 +66,7 @@ QUERIES = {
     "op4_language": op4_language,
     "op5_token_files": op5_token_files,
     "op6_bpe_round_trip": op6_bpe_round_trip,
+    "op7_ngram_join": op7_ngram_join,
     "op8_quality_rules": op8_quality_rules,
     "op9_secret_scan": op9_secret_scan,
 }
