@@ -7,10 +7,11 @@ takes m = 1 for all. Here m adapts to the cost: a shingle that many nodes share
 says little, so a node with f such shingles in its prefix takes m = f + 1. Two nodes have the
 smaller m of the two in common, which is more than the costly shingles of that one, so they meet
 in another shingle, and the costly ones need not be joined at all. The prefix grows until this
-holds. Shingles that are costly within one task are known beforehand (*hot*); others show in the
-first join (more than ``MOST_SHARED`` nodes) and send their nodes, and no others, to a second
-one with longer prefixes. A pair that no join has brought together then has an *unsettled* node,
-whose m does not exceed its costly shingles.
+holds, over the whole set if need be. Shingles that are costly within one task are known
+beforehand (*hot*); others show in the first join (more than ``MOST_SHARED`` nodes) and send their
+nodes, and no others, to a second one, with prefixes that are long enough if costly shingles are as
+frequent in the rest of the set as in the part seen. A pair that no join has brought together then
+has an *unsettled* node, whose m does not exceed its costly shingles.
 
 Unsettled nodes are made up of costly shingles, as thousands of near copies of one text are. They
 are first compared with pivots of their shingles. Then all pairs of an unsettled node and another
@@ -191,8 +192,7 @@ def _flat(lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
 def grown_prefix(head: np.ndarray, n: int, costly: np.ndarray) -> tuple[int, int]:
     """(length, m): the shortest prefix of ``head`` whose m exceeds its costly shingles.
 
-    ``costly`` flags the shingles of ``head``. If the head ends first, the whole head is taken, with m as far as it
-    goes; that node is not settled unless m exceeds its costly shingles.
+    ``costly`` flags the shingles of ``head``. If the head ends first, all of it is taken.
     """
     base = shortest(n)
     seen = np.concatenate([[0], np.cumsum(costly)])
@@ -219,6 +219,8 @@ def _flagged(batch: pa.RecordBatch, hot: np.ndarray) -> Iterator[tuple[int, int,
 
 
 #: slack: m less the hot shingles of the prefix; rest: shingles beyond the prefix; hot: hot ones in it.
+#: A second prefix allows for this many times the costly shingles that are expected, and a few.
+ALLOWANCE, FEW = 1.25, 2
 TOKENS = "token long, node long"
 NODES = "node long, n long, slack int, rest long, hot int"
 
@@ -230,39 +232,51 @@ def _emit(rows: list[tuple[int, np.ndarray]], *names: str) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(values), pa.array(owner)], names=list(names))
 
 
-def prefix_tokens(nodes: DataFrame, hot: np.ndarray) -> DataFrame:
-    """(token, node) of the prefixes, hot tokens left out. ``nodes`` may have ``tokens``: those
-    of the node that are known to be costly, besides the hot ones."""
-    known = "tokens" in nodes.columns
+def _prefix(batch: pa.RecordBatch, at: int, n: int, head: np.ndarray, is_hot: np.ndarray) -> tuple[int, int]:
+    """(length, m) of one node, from what is known of its costly shingles.
+
+    ``seen`` (costly shingles, out of how many) is there in the second join.
+    """
+    if "seen" not in batch.schema.names:
+        return grown_prefix(head, n, is_hot)
+    base = shortest(n)
+    share = batch.column("seen")[at].as_py() / max(1, batch.column("out_of")[at].as_py())
+    lengths = np.arange(base, len(head) + 1)
+    enough = np.nonzero(lengths - base + 1 > ALLOWANCE * share * lengths + FEW)[0]
+    length = int(lengths[enough[0]]) if len(enough) else len(head)
+    return length, length - base + 1
+
+
+def _known_columns(nodes: DataFrame) -> list[str]:
+    return ["node", "n", "head", *(c for c in ("seen", "out_of") if c in nodes.columns)]
+
+
+def prefix_tokens(nodes: DataFrame, hot: np.ndarray, whole: bool) -> DataFrame:
+    """(token, node) of the prefixes, hot tokens left out.
+
+    Unless ``whole``, head is but the beginning of a set, and nodes for which it is too short are left out.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
             for at, (node, n, head, is_hot) in enumerate(_flagged(batch, hot)):
-                costly = is_hot | _costly_of(batch, at, head) if known else is_hot
-                length, _ = grown_prefix(head, n, costly)
-                rows.append((node, head[:length][~is_hot[:length]]))
+                length, m = _prefix(batch, at, n, head, is_hot)
+                if whole or m > is_hot[:length].sum():
+                    rows.append((node, head[:length][~is_hot[:length]]))
             yield _emit(rows, "token", "node")
 
-    columns = ["node", "n", "head", *(["tokens"] if known else [])]
-    return nodes.select(*columns).mapInArrow(run, TOKENS)
-
-
-def _costly_of(batch: pa.RecordBatch, at: int, head: np.ndarray) -> np.ndarray:
-    own = batch.column("tokens")[at].values
-    return _member(head, np.sort(own.to_numpy())) if own is not None else np.zeros(len(head), bool)
+    return nodes.select(*_known_columns(nodes)).mapInArrow(run, TOKENS)
 
 
 def prefix_facts(nodes: DataFrame, hot: np.ndarray) -> DataFrame:
     """(node, n, slack, rest, hot) of the same prefixes."""
-    known = "tokens" in nodes.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
             for at, (node, n, head, is_hot) in enumerate(_flagged(batch, hot)):
-                costly = is_hot | _costly_of(batch, at, head) if known else is_hot
-                length, m = grown_prefix(head, n, costly)
+                length, m = _prefix(batch, at, n, head, is_hot)
                 hots = int(is_hot[:length].sum())
                 rows.append((node, n, m - hots, n - length, hots))
             types = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32())
@@ -271,8 +285,7 @@ def prefix_facts(nodes: DataFrame, hot: np.ndarray) -> DataFrame:
                 [pa.array(c, t) for c, t in zip(columns, types)], names=["node", "n", "slack", "rest", "hot"]
             )
 
-    columns = ["node", "n", "head", *(["tokens"] if known else [])]
-    return nodes.select(*columns).mapInArrow(run, NODES)
+    return nodes.select(*_known_columns(nodes)).mapInArrow(run, NODES)
 
 
 def hot_tokens(nodes: DataFrame, hot: np.ndarray) -> DataFrame:
@@ -371,24 +384,28 @@ def possible_pairs(met: DataFrame, facts: DataFrame) -> DataFrame:
 
 
 def unsettled(met: DataFrame, facts: DataFrame) -> DataFrame:
-    """Nodes of ``facts`` whose m does not exceed their costly shingles."""
+    """(node, partial): nodes of ``facts`` whose m does not exceed their costly shingles.
+
+    A settled node has fewer costly shingles in its prefix than it must share there with any linked
+    one. Against an unsettled node that was joined with its whole set it has met it in another shingle, so such nodes can
+    have missed each other only; ``partial`` marks the others.
+    """
     found = met.where("b is null").groupBy("a").agg(F.count("*").alias("found"))
     return facts.join(found.withColumnRenamed("a", "node"), "node", "left").where(
         F.coalesce("found", F.lit(0)) >= F.col("slack")
-    ).select("node")
+    ).select("node", (F.col("rest") > 0).alias("partial"))
 
 
-def exact_links(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
-    """The (a, b) of ``pairs`` that are linked, by their exact sets. Written.
+def whole_sets(wanted: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """(node, n, head) with the whole sets of the ``wanted`` nodes. Written.
 
     The sets are made again from one text of each node: keeping them all would take more room
     than the texts.
     """
     spark = docs.sparkSession
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    wanted = nodes.select("node", "doc_id").join(wanted, "node").withColumnRenamed("doc_id", "want")
+    own = nodes.select("node", F.col("doc_id").alias("want")).join(wanted.select("node").distinct(), "node")
     texts = docs.selectExpr("cast(doc_id as long) as doc_id", "text").join(
-        wanted, F.col("doc_id").eqNullSafe(F.col("want"))
+        own, F.col("doc_id").eqNullSafe(F.col("want"))
     )
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -399,12 +416,19 @@ def exact_links(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFram
             rows = [
                 (k, s) for k, s in zip(node, shingler.sets(batch.column("text"))) if len(s) and node_of(s) == k
             ]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([k for k, _ in rows], pa.int64()), _lists([s for _, s in rows])], names=["node", "set"]
-            )
+            ids = pa.array([k for k, _ in rows], pa.int64())
+            sizes = pa.array([len(s) for _, s in rows], pa.int64())
+            yield pa.RecordBatch.from_arrays([ids, sizes, _lists([s for _, s in rows])], names=["node", "n", "head"])
 
-    sets = texts.select("node", "text").mapInArrow(make, "node long, set array<long>")
-    sets = _written(sets.dropDuplicates(["node"]), "sets")
+    ship_package(spark)
+    sets = texts.select("node", "text").mapInArrow(make, "node long, n long, head array<long>")
+    return _written(sets.dropDuplicates(["node"]), "sets")
+
+
+def exact_links(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """The (a, b) of ``pairs`` that are linked, by their exact sets. Written."""
+    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b"))
+    sets = whole_sets(wanted, nodes, docs).withColumnRenamed("head", "set")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -421,7 +445,6 @@ def exact_links(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFram
     one = sets.select(F.col("node").alias("a"), F.col("set").alias("set_a"))
     two = sets.select(F.col("node").alias("b"), F.col("set").alias("set_b"))
     joined = pairs.select("a", "b").join(one, "a").join(two, "b").select("a", "b", "set_a", "set_b")
-    ship_package(spark)
     return _written(joined.mapInArrow(check, "a long, b long"), "links")
 
 
@@ -442,32 +465,46 @@ def _size_class(n: str) -> Column:
     return F.floor(F.log(F.col(n)) / float(np.log(100 / PERCENT)) + 1e-9).cast("int")
 
 
-def pivot_pairs(shared: DataFrame) -> DataFrame:
-    """(a, b): each node with the least and the greatest node of each of its tokens and size classes.
+def pivot_pairs(shared: DataFrame, turn: int) -> DataFrame:
+    """(a, b): unsettled nodes with pivots, one at random for a token and size class.
 
-    Only nodes of tokens that an unsettled node has are in ``shared`` (token, node, n, open).
+    A quarter of the tokens, another one each ``turn``, is enough to tie most near copies together.
     """
-    ends = shared.groupBy("token", "class").agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
-    rows = shared.join(ends, ["token", "class"]).select("node", F.explode(F.array("lo", "hi")).alias("p"))
-    return rows.where("node <> p").select(F.least("node", "p").alias("a"), F.greatest("node", "p").alias("b")).distinct()
+    rows = shared.where("open").where(F.pmod("token", F.lit(4)) == turn)
+    pivots = rows.groupBy("token", "class").agg(F.min_by("node", F.xxhash64("node", "token")).alias("p"))
+    rows = rows.join(pivots, ["token", "class"]).where("node <> p")
+    return rows.select(F.least("node", "p").alias("a"), F.greatest("node", "p").alias("b")).distinct()
 
 
 def open_pairs(shared: DataFrame, labels: DataFrame) -> DataFrame:
-    """(a, b): an unsettled node and any of another component with a token in common and a similar size."""
+    """(a, b): two unsettled nodes, or a partial and any other one, of different components and
+    similar in size, whose overlap can suffice though they have costly tokens only in common before
+    one of the plain prefixes ends."""
     rows = _labelled(shared, labels, "node", "label")
     mixed = rows.groupBy("token").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y")
     rows = _written(rows.join(mixed.select("token"), "token", "left_semi"), "open")
     one = rows.where("open").select(
-        "token", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("label").alias("_la"),
+        "token", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("label").alias("_la"), "partial",
         F.explode(F.array(F.col("class") - 1, F.col("class"), F.col("class") + 1)).alias("class"),
     )
-    two = rows.select("token", "class", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("label").alias("_lb"))
+    two = rows.select(
+        "token", "class", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("label").alias("_lb"), "open"
+    )
+    # Two unsettled nodes meet in both directions; one of them counts.
     pairs = one.join(two, ["token", "class"]).where(
-        "_la <> _lb and least(n_a, n_b) * 100 >= greatest(n_a, n_b) * " + str(PERCENT)
+        f"_la <> _lb and if(open, a < b, partial) and least(n_a, n_b) * 100 >= greatest(n_a, n_b) * {PERCENT}"
     )
+    pairs = pairs.groupBy("a", "b", "n_a", "n_b").agg(F.count("*").alias("common"))
+    most = F.col("common") + F.greatest(_beyond("n_a"), _beyond("n_b"))
+    pairs = pairs.where(most * (100 + PERCENT) >= PERCENT * (F.col("n_a") + F.col("n_b")))
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+def _beyond(n: str) -> Column:
+    """Shingles of a set of n that lie beyond its plain prefix."""
+    return F.ceil(F.col(n) * PERCENT / 100) - 1
+
+
 def link_components(docs: DataFrame) -> DataFrame:
     """(doc_id, node, n, label) of every row of ``docs`` (doc_id, text).
 
@@ -485,19 +522,29 @@ def link_components(docs: DataFrame) -> DataFrame:
         "nodes",
     )
     hot = hot_shingles(nodes)
-    facts = prefix_facts(nodes, hot)
-    met = _written(meetings(prefix_tokens(nodes, hot)), "met")
+    facts, tokens = prefix_facts(nodes, hot), prefix_tokens(nodes, hot, whole=False)
+    short = facts.where("slack <= 0").select("node")
+    if len(hot):
+        sets = whole_sets(short, nodes, docs)
+        facts = facts.where("slack > 0").union(prefix_facts(sets, hot))
+        tokens = tokens.union(prefix_tokens(sets, hot, whole=True))
+    facts = _written(facts, "facts")
+    met = _written(meetings(tokens), "met")
     pairs = possible_pairs(met, facts)
     costly = met.where("b is null")
-    open_nodes = facts.where("slack <= 0").select("node")
-    again = costly.groupBy(F.col("a").alias("node")).agg(F.collect_list("token").alias("tokens"))
-    again = nodes.join(again, "node")
-    grown = prefix_facts(again, hot)
-    met_again = _written(meetings(prefix_tokens(again, hot)), "met")
+    seen = costly.groupBy(F.col("a").alias("node")).agg(F.count("*").alias("own"))
+    seen = seen.join(facts, "node").select(
+        "node", (F.col("own") + F.col("hot")).alias("seen"), (F.col("n") - F.col("rest")).alias("out_of")
+    )
+    again = whole_sets(seen, nodes, docs).join(seen, "node")
+    grown = _written(prefix_facts(again, hot), "facts")
+    met_again = _written(meetings(prefix_tokens(again, hot, whole=True)), "met")
     pairs = _written(
         pairs.union(possible_pairs(met_again, grown)).groupBy("a", "b").agg(F.max("common").alias("common")), "pairs"
     )
-    open_nodes = _written(open_nodes.union(unsettled(met_again, grown)).distinct(), "open")
+    open_nodes = facts.where("slack <= 0").select("node", F.lit(False).alias("partial"))
+    open_nodes = open_nodes.union(unsettled(met_again, grown)).groupBy("node").agg(F.max("partial").alias("partial"))
+    open_nodes = _written(open_nodes, "open")
 
     # Costly tokens that an unsettled node has, with all nodes that have them.
     shared = costly.select("token", F.col("a").alias("node")).union(hot_tokens(nodes, hot))
@@ -506,22 +553,30 @@ def link_components(docs: DataFrame) -> DataFrame:
     shared = _written(
         marked.join(wanted, "token", "left_semi")
         .join(nodes.select("node", "n"), "node")
-        .select("token", "node", "n", F.coalesce("open", F.lit(False)).alias("open"), _size_class("n").alias("class")),
+        .select(
+            "token", "node", "n", _size_class("n").alias("class"),
+            *(F.coalesce(c, F.lit(False)).alias(c) for c in ("open", "partial")),
+        ),
         "shared",
     )
 
-    # First each node with the one that it shares most with; then what is still apart.
+    # First each node with the one that it shares most with, and with pivots; then all that is still apart.
     best = pairs.groupBy("b").agg(F.max_by("a", F.struct("common", "a")).alias("a")).select("a", "b")
-    first = _written(best.union(pivot_pairs(shared)).distinct(), "pairs")
-    links = exact_links(first, nodes, docs)
+    done = _written(best.union(pivot_pairs(shared, 0)).distinct(), "pairs")
+    links = exact_links(done, nodes, docs)
     labels = connected_components(links)
-    rest = pairs.select("a", "b").join(first, ["a", "b"], "left_anti")
-    rest = _apart(rest, labels).union(open_pairs(shared, labels).join(first, ["a", "b"], "left_anti"))
-    rest = _written(rest.distinct(), "pairs")
-    if not rest.isEmpty():
-        more = exact_links(rest, nodes, docs)
+    steps = (
+        lambda: pairs.select("a", "b").union(pivot_pairs(shared, 1)).union(pivot_pairs(shared, 2)),
+        lambda: open_pairs(shared, labels),
+    )
+    for step in steps:
+        more = _written(_apart(step().distinct(), labels).join(done, ["a", "b"], "left_anti"), "pairs")
         if not more.isEmpty():
-            labels = connected_components(links.union(more))
+            found = exact_links(more, nodes, docs)
+            if not found.isEmpty():
+                links = links.union(found)
+                labels = connected_components(links)
+            done = done.union(more)
     return _labelled(rows.select("doc_id", "node", "n"), labels, "node", "label")
 
 
