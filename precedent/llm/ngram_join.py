@@ -14,8 +14,8 @@ frequent in the rest of the set as in the part seen. A pair that no join has bro
 has an *unsettled* node, whose m does not exceed its costly shingles.
 
 Unsettled nodes are made up of costly shingles, as thousands of near copies of one text are. They
-are first compared with pivots of their shingles. Then all pairs of an unsettled node and another
-of similar size that share a costly shingle are compared, unless they are in one component by now.
+are first compared with pivots of their shingles. Then all pairs of them that share a shingle in prefixes
+ordered by frequency among them are compared, unless they are in one component by now.
 Candidates are checked with their exact sets; a pair that is already in one component needs no
 check, as only components are asked for.
 
@@ -31,7 +31,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from precedent.llm.common import slices
@@ -476,23 +476,35 @@ def pivot_pairs(shared: DataFrame, turn: int) -> DataFrame:
     return rows.select(F.least("node", "p").alias("a"), F.greatest("node", "p").alias("b")).distinct()
 
 
-def open_pairs(shared: DataFrame, labels: DataFrame) -> DataFrame:
-    """(a, b): two unsettled nodes, or a partial and any other one, of different components and
-    similar in size, whose overlap can suffice though they have costly tokens only in common before
-    one of the plain prefixes ends."""
+def rare_first_pairs(sets: DataFrame, labels: DataFrame) -> DataFrame:
+    """(a, b): nodes of ``sets`` in different components with a token in common in their plain prefixes.
+
+    ``sets`` are the whole sets of the unsettled nodes, few enough to count their tokens; in this order
+    the prefixes begin with the tokens that the fewest of them have.
+    """
+    tokens = _labelled(sets, labels, "node", "label").select("node", "n", "label", F.explode("head").alias("token"))
+    counts = tokens.groupBy("token").agg(F.count("*").alias("df"))
+    order = Window.partitionBy("node").orderBy("df", "token")
+    ranked = tokens.join(counts, "token").withColumn("at", F.row_number().over(order))
+    rows = _written(ranked.where(F.col("at") <= F.col("n") - _beyond("n")).where("df > 1"), "rare")
+    one, two = (rows.select("token", *(F.col(c).alias(f"{c}_{x}") for c in ("node", "n", "label"))) for x in "ab")
+    pairs = one.join(two, "token").where(
+        f"label_a <> label_b and node_a < node_b and least(n_a, n_b) * 100 >= greatest(n_a, n_b) * {PERCENT}"
+    )
+    return pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
+
+
+def partial_pairs(shared: DataFrame, labels: DataFrame) -> DataFrame:
+    """(a, b): a partial node and any of another component, similar in size, whose overlap can
+    suffice though they have costly tokens only in common before one of the plain prefixes ends."""
     rows = _labelled(shared, labels, "node", "label")
-    mixed = rows.groupBy("token").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y")
-    rows = _written(rows.join(mixed.select("token"), "token", "left_semi"), "open")
-    one = rows.where("open").select(
-        "token", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("label").alias("_la"), "partial",
+    one = rows.where("partial").select(
+        "token", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("label").alias("_la"),
         F.explode(F.array(F.col("class") - 1, F.col("class"), F.col("class") + 1)).alias("class"),
     )
-    two = rows.select(
-        "token", "class", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("label").alias("_lb"), "open"
-    )
-    # Two unsettled nodes meet in both directions; one of them counts.
+    two = rows.select("token", "class", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("label").alias("_lb"))
     pairs = one.join(two, ["token", "class"]).where(
-        f"_la <> _lb and if(open, a < b, partial) and least(n_a, n_b) * 100 >= greatest(n_a, n_b) * {PERCENT}"
+        f"_la <> _lb and least(n_a, n_b) * 100 >= greatest(n_a, n_b) * {PERCENT}"
     )
     pairs = pairs.groupBy("a", "b", "n_a", "n_b").agg(F.count("*").alias("common"))
     most = F.col("common") + F.greatest(_beyond("n_a"), _beyond("n_b"))
@@ -546,6 +558,8 @@ def link_components(docs: DataFrame) -> DataFrame:
     open_nodes = open_nodes.union(unsettled(met_again, grown)).groupBy("node").agg(F.max("partial").alias("partial"))
     open_nodes = _written(open_nodes, "open")
 
+    has_partial = not open_nodes.where("partial").isEmpty()
+
     # Costly tokens that an unsettled node has, with all nodes that have them.
     shared = costly.select("token", F.col("a").alias("node")).union(hot_tokens(nodes, hot))
     marked = shared.join(open_nodes.withColumn("open", F.lit(True)), "node", "left")
@@ -567,7 +581,9 @@ def link_components(docs: DataFrame) -> DataFrame:
     labels = connected_components(links)
     steps = (
         lambda: pairs.select("a", "b").union(pivot_pairs(shared, 1)).union(pivot_pairs(shared, 2)),
-        lambda: open_pairs(shared, labels),
+        lambda: rare_first_pairs(whole_sets(open_nodes, nodes, docs), labels).union(
+            partial_pairs(shared, labels) if has_partial else pairs.select("a", "b").limit(0)
+        ),
     )
     for step in steps:
         more = _written(_apart(step().distinct(), labels).join(done, ["a", "b"], "left_anti"), "pairs")
