@@ -29,10 +29,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from precedent.llm.common import slices
 from precedent.llm.components import connected_components
@@ -605,3 +607,10 @@ def similar_documents(docs: DataFrame) -> DataFrame:
         F.col("n").alias("n_shingles"),
         F.when(F.col("label").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id"),
     )
+
+
+@F.pandas_udf(LongType())
+def node_column(text: pd.Series) -> pd.Series:
+    """The node of each text, null if it has no words."""
+    sets = Shingler().sets(pa.array(text, pa.string()))
+    return pd.Series([node_of(s) if len(s) else None for s in sets], dtype="Int64")

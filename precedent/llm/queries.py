@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from precedent.llm import (
     bpe,
+    decontaminate,
     language,
     ngram_join,
     quality_classifier,
@@ -26,6 +27,11 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.quality_scores(docs, labels)
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = (read_table(spark, sf_dir, name) for name in ("documents", "benchmark"))
+    return decontaminate.contaminated_documents(docs, items)
+
+
 def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.language_rows(read_table(spark, sf_dir, "documents"))
 
@@ -63,6 +69,7 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
+    "op2_decontamination": op2_decontamination,
     "op4_language": op4_language,
     "op5_token_files": op5_token_files,
     "op6_bpe_round_trip": op6_bpe_round_trip,
