@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 from precedent.llm import (
     bpe,
     decontaminate,
+    html_extract,
     language,
     ngram_join,
+    pii,
     quality_classifier,
     quality_rules,
     secret_scan,
@@ -32,6 +34,10 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated_documents(docs, items)
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_pii(read_table(spark, sf_dir, "documents"))
+
+
 def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.language_rows(read_table(spark, sf_dir, "documents"))
 
@@ -67,13 +73,19 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.main_texts(read_table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_decontamination": op2_decontamination,
+    "op3_pii": op3_pii,
     "op4_language": op4_language,
     "op5_token_files": op5_token_files,
     "op6_bpe_round_trip": op6_bpe_round_trip,
     "op7_ngram_join": op7_ngram_join,
     "op8_quality_rules": op8_quality_rules,
     "op9_secret_scan": op9_secret_scan,
+    "op10_html_extraction": op10_html_extraction,
 }
