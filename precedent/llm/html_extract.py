@@ -29,6 +29,8 @@ from pyspark.sql import functions as F
 from precedent.session import ship_package
 
 GROUP_PAGES = 64
+#: Numbers of groups of this many large hosts at most are broadcast.
+BROADCAST_HOSTS = 100_000
 MIN_RUN = 4
 #: A block outside an article is boilerplate if this share of its words is in repeated runs.
 COVERED = 0.8
@@ -170,9 +172,15 @@ def main_texts(pages: DataFrame) -> DataFrame:
     ship_package(pages.sparkSession)
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]*)", 1))
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html", host.alias("host"))
-    groups = rows.groupBy("host").agg(F.ceil(F.count("*") / GROUP_PAGES).alias("groups"))
+    large = rows.groupBy("host").agg(F.ceil(F.count("*") / GROUP_PAGES).alias("groups")).where("groups > 1")
+    few = large.limit(BROADCAST_HOSTS + 1).count() <= BROADCAST_HOSTS
+    dealt = rows.join(F.broadcast(large) if few else large, "host", "left")
     # Equal pages meet in one group.
-    dealt = rows.join(groups, "host").withColumn("part", F.pmod(F.xxhash64("page_id", "url"), "groups"))
+    part = F.pmod(F.xxhash64("page_id", "url"), F.coalesce("groups", F.lit(1)))
+    dealt = dealt.withColumn("part", part)
+    if not few:
+        # The join has dealt the pages out by host; a large host has to be dealt out again.
+        dealt = dealt.repartition("host", "part")
 
     def extract(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
         html = group.column("html").to_pylist()
