@@ -15,7 +15,7 @@ there is nothing to learn from; ties go to the first language in order of name.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -33,8 +33,8 @@ GRAM_SIZES = (4, 3, 2, 1)
 SMOOTHING = 0.5
 #: Distinct (language, word) counts held in a task before they are handed on.
 FLUSH = 300_000
-#: Scores of words remembered per worker.
-CACHE_WORDS = 300_000
+#: Characters of words whose n-grams are counted at a time.
+CHUNK_CHARS = 1_000_000
 COUNTS = "kind int, lang string, item string, n long"
 
 
@@ -61,24 +61,54 @@ def _pieces(texts: pa.Array) -> tuple[np.ndarray, list[str], np.ndarray]:
     return encoded.indices.to_numpy(), distinct, bounds - bounds[0]
 
 
+def count_grams(words: Sequence[str], langs: Sequence[str], n: Sequence[int]) -> Iterator[tuple[int, tuple]]:
+    """(size, (langs, grams, counts)) of the n-grams of ``words``, each of which counts ``n`` times.
+
+    A gram of k characters is numbered by that of its first k - 1 and its last character, so
+    numbers stay below the count of positions whatever the alphabet.
+    """
+    names, lang = np.unique(np.array(langs, object), return_inverse=True)
+    sizes = np.array([len(w) + 2 for w in words])
+    joined = "".join(f"_{w}_" for w in words)
+    alphabet, code = np.unique(np.frombuffer(joined.encode("utf-32-le"), np.uint32), return_inverse=True)
+    owner = np.repeat(np.arange(len(words)), sizes)
+    left = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(joined))
+    weight = np.array(n, np.float64)[owner]
+    number = np.zeros(len(joined), np.int64)
+    for size in sorted(GRAM_SIZES):
+        at = np.nonzero(left >= size)[0]
+        key = number[at] * len(alphabet) + code[at + size - 1]
+        _, first, number[at] = np.unique(key, return_index=True, return_inverse=True)
+        sums = np.bincount(number[at] * len(names) + lang[owner[at]], weight[at], len(first) * len(names))
+        some = np.nonzero(sums)[0]
+        texts = [joined[i : i + size] for i in at[first].tolist()]
+        found = [texts[i] for i in (some // len(names)).tolist()]
+        counts = sums[some].astype(np.int64)
+        whole = np.array([g != "_" for g in found], bool)
+        yield size, (names[some % len(names)][whole], [g for g in found if g != "_"], counts[whole])
+
+
+def _count_batch(kind: int, langs: Sequence[str], items: Sequence[str], n: Sequence[int]) -> pa.RecordBatch:
+    kinds = pa.array(np.full(len(items), kind, np.int32))
+    columns = [kinds, pa.array(langs, pa.string()), pa.array(items, pa.string()), pa.array(n, pa.int64())]
+    return pa.RecordBatch.from_arrays(columns, names=["kind", "lang", "item", "n"])
+
+
 def count_items(labelled: DataFrame) -> DataFrame:
     """(kind, lang, item, n): kind 0 words, else n-grams of that size; of (text, lang) rows."""
     ship_package(labelled.sparkSession)
 
     def emit(counts: dict[tuple[str, str], int]) -> Iterator[pa.RecordBatch]:
-        by_gram: Counter = Counter()
-        for (lang, word), n in counts.items():
-            for size in GRAM_SIZES:
-                for gram in grams(word, size):
-                    by_gram[size, lang, gram] += n
-        rows = [(0, lang, word, n) for (lang, word), n in counts.items()]
-        rows += [(size, lang, gram, n) for (size, lang, gram), n in by_gram.items()]
-        for at in range(0, len(rows), 50_000):
-            kind, lang, item, n = zip(*rows[at : at + 50_000])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(kind, pa.int32()), pa.array(lang), pa.array(item), pa.array(n, pa.int64())],
-                names=["kind", "lang", "item", "n"],
-            )
+        begin, chars, keys = 0, 0, list(counts)
+        for at, (_, word) in enumerate(keys, 1):
+            chars += len(word)
+            if chars > CHUNK_CHARS or at == len(keys):
+                langs, words = zip(*keys[begin:at])
+                n = [counts[key] for key in keys[begin:at]]
+                yield _count_batch(0, langs, words, n)
+                for size, found in count_grams(words, langs, n):
+                    yield _count_batch(size, *found)
+                begin, chars = at, 0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()
@@ -111,43 +141,46 @@ class LanguageModel:
 
     def __init__(self, langs: list[str], totals: dict[int, np.ndarray], items: dict[int, dict[str, list[int]]]):
         self.langs = langs
-        self.items, self.totals = items, totals
-        self.known: dict[str, np.ndarray] = {}
-
-    def _log(self, kind: int, counts: list[int]) -> np.ndarray:
-        size = len(self.items[kind]) + 1
-        return np.log((np.array(counts) + SMOOTHING) / (self.totals[kind] + SMOOTHING * size))
+        self.rows = {kind: {item: row for row, item in enumerate(table)} for kind, table in items.items()}
+        self.logs = {}
+        for kind, table in items.items():
+            counts = np.array(list(table.values()), np.float64).reshape(-1, len(langs))
+            self.logs[kind] = np.log((counts + SMOOTHING) / (totals[kind] + SMOOTHING * (len(table) + 1)))
 
     def word(self, word: str) -> np.ndarray:
-        """Scores of one word, relative to their mean so that words without evidence count nothing."""
-        if (counts := self.items.get(0, {}).get(word)) is not None:
-            found = self._log(0, counts)
-        else:
-            found = np.zeros(len(self.langs))
-            for size in GRAM_SIZES:
-                table = self.items.get(size, {})
-                seen = [counts for g in grams(word, size) if (counts := table.get(g)) is not None]
-                if seen:
-                    found = np.mean([self._log(size, c) for c in seen], axis=0)
-                    break
-        return found - found.mean()
-
-    def piece(self, piece: str) -> np.ndarray:
-        found = self.known.get(piece)
-        if found is None:
-            word = normal_form(piece)
-            found = self.word(word) if word else np.zeros(len(self.langs))
-            if len(self.known) >= CACHE_WORDS:
-                self.known.clear()
-            self.known[piece] = found
-        return found
+        return self.scores([word])[0]
+
+    def scores(self, words: list[str]) -> np.ndarray:
+        """Scores of each word, relative to their mean so that words without evidence count nothing."""
+        found = np.zeros((len(words), len(self.langs)))
+        rows = list(map(self.rows.get(0, {}).get, words))
+        known = [i for i, row in enumerate(rows) if row is not None]
+        if known:
+            found[known] = self.logs[0][[rows[i] for i in known]]
+        unseen = [i for i, row in enumerate(rows) if row is None and words[i]]
+        for size in GRAM_SIZES:
+            get = self.rows.get(size, {}).get
+            owners, lengths, flat, rest = [], [], [], []
+            for i in unseen:
+                own = [row for g in grams(words[i], size) if (row := get(g)) is not None]
+                if own:
+                    owners.append(i)
+                    lengths.append(len(own))
+                    flat += own
+                else:
+                    rest.append(i)
+            if owners:
+                starts = np.cumsum([0, *lengths[:-1]])
+                found[owners] = np.add.reduceat(self.logs[size][flat], starts, axis=0) / np.array(lengths)[:, None]
+            unseen = rest
+        return found - found.mean(axis=1, keepdims=True)
 
     def predict(self, texts: pa.Array) -> tuple[list[str], list[float]]:
         index, distinct, bounds = _pieces(texts)
         lettered = np.array([any(map(str.isalpha, p)) for p in distinct] or [False])
         if not self.langs or not len(index):
             return [UNDETERMINED] * len(texts), [0.0] * len(texts)
-        scores = np.array([self.piece(p) for p in distinct])[index]
+        scores = self.scores([normal_form(p) for p in distinct])[index]
         # One more row keeps the bounds of trailing empty texts valid.
         sums = np.add.reduceat(np.vstack([scores, np.zeros(len(self.langs))]), bounds[:-1], axis=0)
         letters = np.add.reduceat(np.append(lettered[index], False).astype(int), bounds[:-1]) > 0
