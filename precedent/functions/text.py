@@ -41,7 +41,7 @@ def section(answer: Column, heading: str, following: str | None = None) -> Colum
 
 
 def citations(answer: Column, pattern: str = CITATION_PATTERN) -> Column:
-    """Distinct ticket ids named anywhere in the answer, sorted."""
+    """Distinct ticket ids named anywhere in the answer, sorted; alternatives in ``pattern`` are one group."""
     found = F.regexp_extract_all(answer, F.lit(rf"(?U)\b(?:{pattern})\b"), F.lit(0))
     return F.sort_array(F.array_distinct(found))
 

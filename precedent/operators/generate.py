@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from precedent.errors import InputError
 from precedent.functions.text import WHITESPACE, is_blank, strip
 from precedent.schemas import GENERATOR_UNAVAILABLE, INVALID_MODEL_RESPONSE
 from precedent.session import ship_package
@@ -51,12 +52,20 @@ def generate(rows: DataFrame, generator: Generator) -> DataFrame:
     return rows.mapInArrow(run, schema)
 
 
+def require_unique_answers(answers: DataFrame) -> None:
+    """Refuses a table with more than one row for a query and attempt."""
+    keys = answers.select(F.col("query_id").cast("string").alias("query_id"), "attempt")
+    if not keys.groupBy("query_id", "attempt").count().where("count > 1").isEmpty():
+        raise InputError("answer_repeated", "There must be one answer per query_id and attempt.")
+
+
 def look_up_answers(rows: DataFrame, answers: DataFrame, attempt: int) -> DataFrame:
     """Adds ``answer`` and ``fault`` from ``answers (query_id, attempt, answer)``.
 
     The same faults as for a generator: no row means it was not available, a blank
-    answer is an invalid one.
+    answer is an invalid one. Two answers to one request are refused.
     """
+    require_unique_answers(answers)
     found = answers.where(F.col("attempt") == attempt).select(
         F.col("query_id").cast("string").alias("query_id"),
         F.col("answer").alias("given"),

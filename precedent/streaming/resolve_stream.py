@@ -1,4 +1,4 @@
-"""Issues arriving over time against a fixed index."""
+"""Issues arriving over time, each batch against the index that is current then."""
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
@@ -7,7 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 from precedent.operators.generate import Generator
 from precedent.operators.vectorize import Vectorizer
 from precedent.plans.resolve import resolve
-from precedent.sources.index_store import TicketIndex
+from precedent.sources.index_store import TicketIndex, open_index
 
 RESULTS = "results"
 METRICS = "metrics"
@@ -73,7 +73,9 @@ def resolve_stream(
         # The batch is read several times below; each read would re-read the source.
         held = batch.persist()
         try:
-            write_batch(index, held, batch_id, out_path, vectorizer, generator, **options)
+            # A rebuilt index is used from the next batch on.
+            current = open_index(batch.sparkSession, index.path)
+            write_batch(current, held, batch_id, out_path, vectorizer, generator, **options)
         finally:
             held.unpersist()
 

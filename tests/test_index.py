@@ -11,6 +11,7 @@ from precedent.errors import (
     VectorizerMismatch,
 )
 from precedent.operators.vectorize import embed_function
+from precedent.sources.index_store import remove_old_versions
 from tests.helpers import TICKETS, tickets
 
 
@@ -105,6 +106,22 @@ def test_nonempty_index_is_kept_without_reset(spark, tmp_path):
         assert open_index(spark, path).table("tickets").count() == n
 
 
+def test_a_version_never_changes(spark, tmp_path):
+    path = str(tmp_path / "index")
+    first = build_index(tickets(spark, TICKETS[:3]), path, tf_idf())
+    before = sorted(map(str, retrieve(first, issues(spark, TICKETS[0][2]), tf_idf(), 3).collect()))
+    for n in (5, 2, 4):
+        build_index(tickets(spark, TICKETS[:n]), path, tf_idf(), reset=True)
+    assert first.table("tickets").count() == first.n_tickets == 3
+    after = retrieve(first, issues(spark, TICKETS[0][2]), tf_idf(), 3).collect()
+    assert sorted(map(str, after)) == before
+    removed = remove_old_versions(spark, path, keep=2)
+    assert len(removed) == 2 and first.folder in removed
+    assert open_index(spark, path).table("tickets").count() == 4
+    with pytest.raises(InputError):
+        remove_old_versions(spark, path, keep=0)
+
+
 def test_a_failing_model_leaves_the_old_index(spark, tmp_path):
     path = str(tmp_path / "index")
     build_index(tickets(spark), path, tf_idf())

@@ -125,3 +125,12 @@ def test_bad_arguments_stop_before_any_generation(spark, index):
         resolve(index, issues.withColumn("x", F.lit(1)), tf_idf(), template())
     with pytest.raises(VectorizerMismatch):
         resolve(index, issues.withColumn("vector", F.array(F.lit(1.0))), vector_column(), template())
+
+
+def test_two_answers_to_one_request_are_refused(spark):
+    routed = gate_and_select(evidence(spark, {"a": [("SR901", 0.65)]}))
+    answers = spark.createDataFrame(
+        [("a", 1, answer(GOOD)), ("a", 1, "another")], "query_id string, attempt int, answer string"
+    )
+    with pytest.raises(InputError):
+        answer_routed(routed, answers)

@@ -33,6 +33,35 @@ def test_csv_empty_field_is_refused(spark, tmp_path):
         require_valid_tickets(read_tickets_csv(spark, str(path)))
 
 
+def write_files(folder, **files):
+    for name, text in files.items():
+        (folder / f"{name}.csv").write_text(text, encoding="utf-8")
+    return str(folder)
+
+
+def test_csv_files_with_columns_in_other_orders(spark, tmp_path):
+    path = write_files(
+        tmp_path,
+        a="ticket_id,product,issue,resolution\nSR901,p,broken,mended\n",
+        b='resolution,"issue",product,ticket_id\r\nreplaced,torn,q,SR902\r\n',
+    )
+    rows = {r.ticket_id: (r.product, r.issue, r.resolution) for r in read_tickets_csv(spark, path).collect()}
+    assert rows == {"SR901": ("p", "broken", "mended"), "SR902": ("q", "torn", "replaced")}
+
+
+def test_csv_files_with_other_columns_are_refused(spark, tmp_path):
+    path = write_files(tmp_path, a="ticket_id,product\nSR901,p\n", b="ticket_id,issue\nSR902,i\n")
+    with pytest.raises(InputError):
+        read_tickets_csv(spark, path)
+
+
+@pytest.mark.parametrize("row", ["SR901,p,i,r,more", "SR901,p,i"])
+def test_csv_row_of_another_length_is_refused(spark, tmp_path, row):
+    path = write_files(tmp_path, a=f"ticket_id,product,issue,resolution\n{row}\n")
+    with pytest.raises(Exception, match="MALFORMED|FAILED_READ"):
+        read_tickets_csv(spark, path).collect()
+
+
 def read_cases(spark, tmp_path, value):
     path = tmp_path / "cases.json"
     path.write_text(json.dumps(value, indent=2), encoding="utf-8")

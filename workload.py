@@ -434,7 +434,6 @@ def index_versions(spark, sf_dir):
         row = row.withColumn("step", F.lit(step)).withColumn(
             "version", F.lit(index.version).cast("long")
         )
-        # A slot is reused later, so each count is taken while its version is current.
         rows = row if rows is None else rows.unionByName(row)
     return rows
 
