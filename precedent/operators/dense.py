@@ -34,7 +34,7 @@ EXP_NEG_SQ_L2 = "exp_neg_sq_l2"
 COSINE = "cosine"
 
 BLOCK_ROWS = 16_384
-PIVOT_SAMPLE_ROWS = 50_000
+PIVOT_ROWS_PER_CELL = 256
 MAX_CELLS = 4096
 # Bounds are compared with this much slack, above rounding error and below any
 # difference the ranking can see.
@@ -56,9 +56,12 @@ def vector_dim(vectors: DataFrame) -> int:
         F.min(size).alias("low"),
         F.max(size).alias("high"),
         F.count_if(F.col("vector").isNull() | F.exists("vector", lambda x: x.isNull())).alias("bad"),
+        F.count_if(F.exists("vector", lambda x: F.isnan(x) | F.abs(x).isin(float("inf")))).alias("wild"),
     ).head()
     if row.low is None or row.low != row.high or row.low < 1 or row.bad:
         raise InputError("vector_size", "All vectors must be present and of one length.")
+    if row.wild:
+        raise InputError("vector_value", "All numbers of a vector must be finite.")
     return row.low
 
 
@@ -123,9 +126,18 @@ def _pivot_distances(vectors: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(squares, 0.0))
 
 
-def train_pivots(vectors: DataFrame, n_rows: int, n_cells: int, seed: int = 42) -> np.ndarray:
-    """Pivots from a bounded sample. They steer speed; exact results do not depend on them."""
-    fraction = min(1.0, PIVOT_SAMPLE_ROWS / max(1, n_rows))
+def train_pivots(
+    vectors: DataFrame,
+    n_rows: int,
+    n_cells: int,
+    seed: int = 42,
+    rows_per_cell: int = PIVOT_ROWS_PER_CELL,
+) -> np.ndarray:
+    """Pivots by k-means over a sample that grows with the cells: ``rows_per_cell`` for each.
+
+    They steer speed and the recall of ``n_probe``; exact results do not depend on them.
+    """
+    fraction = min(1.0, rows_per_cell * n_cells / max(1, n_rows))
     sample = vectors if fraction == 1.0 else vectors.sample(fraction, seed=seed)
     raw = sample.select(array_to_vector(F.col("vector").cast("array<double>")).alias("raw"))
     unit = Normalizer(inputCol="raw", outputCol="features").transform(raw)
@@ -148,9 +160,8 @@ def assign_cells(vectors: DataFrame, pivots: np.ndarray) -> DataFrame:
     )
 
     def assign(batches):
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        most = max(1, TILE_CELLS // len(shared.value))
+        for batch in (b.slice(i, most) for b in batches for i in range(0, b.num_rows, most)):
             distances = _pivot_distances(_matrix(batch.column("vector")), shared.value)
             cell = distances.argmin(axis=1)
             near = distances[np.arange(len(cell)), cell]
@@ -201,22 +212,25 @@ def _visits(queries: DataFrame, cells: Cells, choose) -> DataFrame:
 
     def visit(batches):
         held = Cells(*shared.value)
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        # Query by cell matrices of bounded size, whatever the size of an Arrow batch.
+        most = max(1, TILE_CELLS // len(held.pivots))
+        for batch in (b.slice(i, most) for b in batches for i in range(0, b.num_rows, most)):
             unit = _matrix(batch.column("vector"))
             distances = _pivot_distances(unit, held.pivots)
-            row, cell = np.nonzero(choose(distances, held, batch))
-            flat = pa.array(unit[row].reshape(-1))
-            ends = pa.array(np.arange(len(row) + 1, dtype=np.int32) * unit.shape[1])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("query_id").take(pa.array(row)),
-                    pa.ListArray.from_arrays(ends, flat),
-                    pa.array(cell, pa.int32()),
-                ],
-                names=["query_id", "vector", "cell"],
-            )
+            rows, cells_of = np.nonzero(choose(distances, held, batch))
+            # Batches of bounded size: neither memory nor the list offsets grow with the visits.
+            step = max(1, TILE_CELLS // unit.shape[1])
+            for at in range(0, len(rows), step):
+                row, cell = rows[at : at + step], cells_of[at : at + step]
+                ends = np.arange(len(row) + 1, dtype=np.int32) * unit.shape[1]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column("query_id").take(pa.array(row)),
+                        pa.ListArray.from_arrays(pa.array(ends), pa.array(unit[row].reshape(-1))),
+                        pa.array(cell, pa.int32()),
+                    ],
+                    names=["query_id", "vector", "cell"],
+                )
 
     return queries.mapInArrow(visit, schema)
 

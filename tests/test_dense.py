@@ -139,6 +139,26 @@ def test_unequal_vectors_are_refused(spark):
         dense.dense_top_k(rows, rows, 1, metric="dot")
 
 
+def test_numbers_that_are_not_finite_are_refused(spark):
+    for bad in (float("nan"), float("inf"), float("-inf")):
+        with pytest.raises(InputError):
+            dense.vector_dim(table(spark, "ticket_id", [("a", [1.0, 2.0]), ("b", [1.0, bad])]))
+
+
+def test_small_tiles_give_the_same_result(spark, monkeypatch):
+    tickets, queries = (table(spark, key, rows) for key, rows in zip(("ticket_id", "query_id"), data(6, 120, 40)))
+    plan = {"broadcast_bytes": 0, "n_cells": 6}
+
+    def found():
+        # Sums of another order differ past the digits that scores are ranked on.
+        rows = dense.dense_top_k(tickets, queries, 3, **plan).collect()
+        return sorted((r.query_id, r.rank, r.ticket_id, round(r.similarity_score, 9)) for r in rows)
+
+    whole = found()
+    monkeypatch.setattr(dense, "TILE_CELLS", 20)
+    assert found() == whole
+
+
 def test_pair_score_on_the_jvm(spark):
     row = spark.range(1).select(
         dense.squared_l2_score(
