@@ -10,20 +10,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from precedent.session import fresh_path
+from precedent.llm.common import Tables
 
 MAX_ROUNDS = 60
 
 
-def _written(df: DataFrame, name: str) -> DataFrame:
-    path = fresh_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def connected_components(links: DataFrame) -> DataFrame:
     """(node, label) of every node of ``links`` (a, b: long); label is the component's least node."""
-    edges = _written(
+    tables = Tables(links.sparkSession, "components")
+    edges = tables.store(
         links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(),
         "edges",
     )
@@ -37,7 +32,7 @@ def connected_components(links: DataFrame) -> DataFrame:
         # Small star: a node and all below it hang on the least of these.
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = _written(small.union(least.select("u", F.col("m").alias("v"))).distinct(), "edges")
+        edges = tables.store(small.union(least.select("u", F.col("m").alias("v"))).distinct(), "edges")
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before:
             roots = edges.select(F.col("v").alias("node")).distinct()

@@ -36,9 +36,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from precedent.llm.common import slices
+from precedent.llm.common import Tables, slices
 from precedent.llm.components import connected_components
-from precedent.session import fresh_path, ship_package
+from precedent.session import ship_package
 
 WORDS = 5
 #: Similarity in percent.
@@ -133,7 +133,7 @@ def _lists(values: list[np.ndarray]) -> pa.ListArray:
 
 
 def shingle_rows(docs: DataFrame) -> DataFrame:
-    """(doc_id, node, n, head): head holds the first shingles by hash. Written once."""
+    """(doc_id, node, n, head): head holds the first shingles by hash."""
     spark = docs.sparkSession
     ship_package(spark)
 
@@ -152,15 +152,7 @@ def shingle_rows(docs: DataFrame) -> DataFrame:
             )
 
     schema = "doc_id long, node long, n long, head array<long>"
-    path = fresh_path(spark, "shingles")
-    docs.selectExpr("cast(doc_id as long) as doc_id", "text").mapInArrow(run, schema).write.parquet(path)
-    return spark.read.parquet(path)
-
-
-def _written(df: DataFrame, name: str) -> DataFrame:
-    path = fresh_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return docs.selectExpr("cast(doc_id as long) as doc_id", "text").mapInArrow(run, schema)
 
 
 def hot_shingles(nodes: DataFrame) -> np.ndarray:
@@ -398,11 +390,12 @@ def unsettled(met: DataFrame, facts: DataFrame) -> DataFrame:
     ).select("node", (F.col("rest") > 0).alias("partial"))
 
 
-def whole_sets(wanted: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
-    """(node, n, head) with the whole sets of the ``wanted`` nodes. Written.
+def whole_sets(wanted: DataFrame, nodes: DataFrame, docs: DataFrame, tables: Tables, name: str) -> DataFrame:
+    """(node, n, head) with the whole sets of the ``wanted`` nodes, stored under ``name``.
 
     The sets are made again from one text of each node: keeping them all would take more room
-    than the texts.
+    than the texts. A text that is there more than once under its id is told apart by a count
+    over the stored names, so that the sets themselves are not shuffled.
     """
     spark = docs.sparkSession
     own = nodes.select("node", F.col("doc_id").alias("want")).join(wanted.select("node").distinct(), "node")
@@ -412,11 +405,14 @@ def whole_sets(wanted: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFram
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler()
+        made: set[int] = set()
         for batch in slices(batches, "text"):
             node = batch.column("node").to_pylist()
             # Another text of the same id has another name.
             rows = [
-                (k, s) for k, s in zip(node, shingler.sets(batch.column("text"))) if len(s) and node_of(s) == k
+                (k, s)
+                for k, s in zip(node, shingler.sets(batch.column("text")))
+                if k not in made and len(s) and node_of(s) == k and not made.add(k)
             ]
             ids = pa.array([k for k, _ in rows], pa.int64())
             sizes = pa.array([len(s) for _, s in rows], pa.int64())
@@ -424,13 +420,16 @@ def whole_sets(wanted: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFram
 
     ship_package(spark)
     sets = texts.select("node", "text").mapInArrow(make, "node long, n long, head array<long>")
-    return _written(sets.dropDuplicates(["node"]), "sets")
+    found = tables.store(sets, name)
+    if found.groupBy("node").count().where("count > 1").isEmpty():
+        return found
+    return tables.store(found.dropDuplicates(["node"]), name)
 
 
-def exact_links(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
-    """The (a, b) of ``pairs`` that are linked, by their exact sets. Written."""
+def exact_links(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, tables: Tables) -> DataFrame:
+    """The (a, b) of ``pairs`` that are linked, by their exact sets. Stored."""
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b"))
-    sets = whole_sets(wanted, nodes, docs).withColumnRenamed("head", "set")
+    sets = whole_sets(wanted, nodes, docs, tables, "checked").withColumnRenamed("head", "set")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -447,7 +446,9 @@ def exact_links(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFram
     one = sets.select(F.col("node").alias("a"), F.col("set").alias("set_a"))
     two = sets.select(F.col("node").alias("b"), F.col("set").alias("set_b"))
     joined = pairs.select("a", "b").join(one, "a").join(two, "b").select("a", "b", "set_a", "set_b")
-    return _written(joined.mapInArrow(check, "a long, b long"), "links")
+    links = tables.store(joined.mapInArrow(check, "a long, b long"), "links")
+    tables.drop("checked")
+    return links
 
 
 def _labelled(rows: DataFrame, labels: DataFrame, key: str, name: str) -> DataFrame:
@@ -478,7 +479,7 @@ def pivot_pairs(shared: DataFrame, turn: int) -> DataFrame:
     return rows.select(F.least("node", "p").alias("a"), F.greatest("node", "p").alias("b")).distinct()
 
 
-def rare_first_pairs(sets: DataFrame, labels: DataFrame) -> DataFrame:
+def rare_first_pairs(sets: DataFrame, labels: DataFrame, tables: Tables) -> DataFrame:
     """(a, b): nodes of ``sets`` in different components with a token in common in their plain prefixes.
 
     ``sets`` are the whole sets of the unsettled nodes, few enough to count their tokens; in this order
@@ -488,7 +489,7 @@ def rare_first_pairs(sets: DataFrame, labels: DataFrame) -> DataFrame:
     counts = tokens.groupBy("token").agg(F.count("*").alias("df"))
     order = Window.partitionBy("node").orderBy("df", "token")
     ranked = tokens.join(counts, "token").withColumn("at", F.row_number().over(order))
-    rows = _written(ranked.where(F.col("at") <= F.col("n") - _beyond("n")).where("df > 1"), "rare")
+    rows = tables.store(ranked.where(F.col("at") <= F.col("n") - _beyond("n")).where("df > 1"), "rare")
     one, two = (rows.select("token", *(F.col(c).alias(f"{c}_{x}") for c in ("node", "n", "label"))) for x in "ab")
     pairs = one.join(two, "token").where(
         f"label_a <> label_b and node_a < node_b and least(n_a, n_b) * 100 >= greatest(n_a, n_b) * {PERCENT}"
@@ -524,9 +525,11 @@ def link_components(docs: DataFrame) -> DataFrame:
 
     ``node`` names the set (null: empty) and ``label`` its component.
     """
-    rows = shingle_rows(docs)
-    nodes = _written(
-        rows.where("node is not null")
+    tables = Tables(docs.sparkSession, "ngram-join")
+    heads = tables.store(shingle_rows(docs), "heads")
+    rows = tables.store(heads.select("doc_id", "node", "n"), "rows")
+    nodes = tables.store(
+        heads.where("node is not null")
         .groupBy("node")
         .agg(
             F.min("doc_id").alias("doc_id"),
@@ -535,38 +538,48 @@ def link_components(docs: DataFrame) -> DataFrame:
         ),
         "nodes",
     )
+    tables.drop("heads")
     hot = hot_shingles(nodes)
     facts, tokens = prefix_facts(nodes, hot), prefix_tokens(nodes, hot, whole=False)
     short = facts.where("slack <= 0").select("node")
     if len(hot):
-        sets = whole_sets(short, nodes, docs)
+        sets = whole_sets(short, nodes, docs, tables, "short")
         facts = facts.where("slack > 0").union(prefix_facts(sets, hot))
         tokens = tokens.union(prefix_tokens(sets, hot, whole=True))
-    facts = _written(facts, "facts")
-    met = _written(meetings(tokens), "met")
-    pairs = possible_pairs(met, facts)
-    costly = met.where("b is null")
-    seen = costly.groupBy(F.col("a").alias("node")).agg(F.count("*").alias("own"))
+    facts = tables.store(facts, "facts")
+    met = tables.store(meetings(tokens), "met")
+    if len(hot):
+        tables.drop("short")
+    # Hot tokens of all nodes; from here on the heads are not needed.
+    hot_rows = tables.store(hot_tokens(nodes, hot), "hot")
+    nodes = tables.store(nodes.select("node", "doc_id", "n"), "names")
+    tables.drop("nodes")
+    pairs = tables.store(possible_pairs(met, facts), "first")
+    costly = tables.store(met.where("b is null").select("token", F.col("a").alias("node")), "costly")
+    tables.drop("met")
+    seen = costly.groupBy("node").agg(F.count("*").alias("own"))
     seen = seen.join(facts, "node").select(
         "node", (F.col("own") + F.col("hot")).alias("seen"), (F.col("n") - F.col("rest")).alias("out_of")
     )
-    again = whole_sets(seen, nodes, docs).join(seen, "node")
-    grown = _written(prefix_facts(again, hot), "facts")
-    met_again = _written(meetings(prefix_tokens(again, hot, whole=True)), "met")
-    pairs = _written(
+    seen = tables.store(seen, "seen")
+    again = whole_sets(seen, nodes, docs, tables, "again").join(seen, "node")
+    grown = tables.store(prefix_facts(again, hot), "grown")
+    met_again = tables.store(meetings(prefix_tokens(again, hot, whole=True)), "met")
+    tables.drop("again")
+    pairs = tables.store(
         pairs.union(possible_pairs(met_again, grown)).groupBy("a", "b").agg(F.max("common").alias("common")), "pairs"
     )
     open_nodes = facts.where("slack <= 0").select("node", F.lit(False).alias("partial"))
     open_nodes = open_nodes.union(unsettled(met_again, grown)).groupBy("node").agg(F.max("partial").alias("partial"))
-    open_nodes = _written(open_nodes, "open")
+    open_nodes = tables.store(open_nodes, "open")
+    tables.drop("met", "first")
 
     has_partial = not open_nodes.where("partial").isEmpty()
 
     # Costly tokens that an unsettled node has, with all nodes that have them.
-    shared = costly.select("token", F.col("a").alias("node")).union(hot_tokens(nodes, hot))
-    marked = shared.join(open_nodes.withColumn("open", F.lit(True)), "node", "left")
+    marked = costly.union(hot_rows).join(open_nodes.withColumn("open", F.lit(True)), "node", "left")
     wanted = marked.where("open").select("token").distinct()
-    shared = _written(
+    shared = tables.store(
         marked.join(wanted, "token", "left_semi")
         .join(nodes.select("node", "n"), "node")
         .select(
@@ -575,27 +588,29 @@ def link_components(docs: DataFrame) -> DataFrame:
         ),
         "shared",
     )
+    tables.drop("costly", "hot")
 
     # First each node with the one that it shares most with, and with pivots; then all that is still apart.
     best = pairs.groupBy("b").agg(F.max_by("a", F.struct("common", "a")).alias("a")).select("a", "b")
-    done = _written(best.union(pivot_pairs(shared, 0)).distinct(), "pairs")
-    links = exact_links(done, nodes, docs)
+    done = tables.store(best.union(pivot_pairs(shared, 0)).distinct(), "done")
+    links = exact_links(done, nodes, docs, tables)
     labels = connected_components(links)
     steps = (
         lambda: pairs.select("a", "b").union(pivot_pairs(shared, 1)).union(pivot_pairs(shared, 2)),
-        lambda: rare_first_pairs(whole_sets(open_nodes, nodes, docs), labels).union(
+        lambda: rare_first_pairs(whole_sets(open_nodes, nodes, docs, tables, "unsettled"), labels, tables).union(
             partial_pairs(shared, labels) if has_partial else pairs.select("a", "b").limit(0)
         ),
     )
     for step in steps:
-        more = _written(_apart(step().distinct(), labels).join(done, ["a", "b"], "left_anti"), "pairs")
+        more = tables.store(_apart(step().distinct(), labels).join(done, ["a", "b"], "left_anti"), "more")
         if not more.isEmpty():
-            found = exact_links(more, nodes, docs)
+            found = exact_links(more, nodes, docs, tables)
             if not found.isEmpty():
                 links = links.union(found)
                 labels = connected_components(links)
             done = done.union(more)
-    return _labelled(rows.select("doc_id", "node", "n"), labels, "node", "label")
+    tables.drop("unsettled", "rare", "shared")
+    return _labelled(rows, labels, "node", "label")
 
 
 def similar_documents(docs: DataFrame) -> DataFrame:
