@@ -45,10 +45,19 @@ BLOCKS = {
     "html", "nav", "header", "footer", "aside", "form", "address", "details", "summary", "fieldset",
 }
 VOID = {"br", "img", "hr", "meta", "link", "input", "area", "base", "col", "embed", "source", "track", "wbr"}
-CHROME_NAMES = re.compile(
-    r"(^|[\s_-])(ads?|advert\w*|banner|sponsor\w*|promo\w*|nav\w*|menu|breadcrumbs?|sidebar|side|footer|header|masthead"
+CHROME_PART = (
+    r"(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|nav\w*|menu|breadcrumbs?|sidebar|side|footer|header|masthead"
     r"|comments?|disqus|replies|respond|cookie\w*|consent|notices?|newsletter|subscribe|signup|share|sharing|social"
-    r"|related|recommend\w*|popup|modal|toolbar|widget|login|search|pagination|pager|skip)([\s_-]|$)",
+    r"|related|recommend\w*|popup|modal|toolbar|widget|login|search|pagination|pager|skip)"
+)
+#: Words that name a place or a form, so that a compound of them and a part above is still that part.
+PLACE = (
+    r"(?:site|global|top|bottom|left|right|main|page|primary|secondary|mobile|desktop|list|area|box|bar|wrap|wrapper|container"
+    r"|block|section|links?|buttons?|icons?|slot|unit|form|inner|outer|row|posts|articles|stories|thread|\d+)"
+)
+#: A class or id as a whole; the head of a page or section holds its title.
+CHROME_NAMES = re.compile(
+    rf"(?<!\S)(?!(?:main|page|section|block)[_-]header(?!\S))(?:{PLACE}[_-]+)*{CHROME_PART}(?:[_-]+(?:{PLACE}|{CHROME_PART}))*(?!\S)",
     re.I,
 )
 CHROME_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "menu"}
@@ -64,16 +73,21 @@ SPACE = re.compile(r"\s+")
 
 
 def blocks_of(page: str) -> list[tuple[str, bool]]:
-    """(text, inside an article) of every block that no dropped element encloses."""
-    out: list[tuple[str, bool]] = []
-    stack: list[tuple[str, bool, bool]] = []  # name, dropped, article
+    """(text, inside an article) of every block that no dropped element encloses.
+
+    An element dropped for its name only stays if it holds an article or most of the page's paragraph text.
+    """
+    found: list[tuple[str, bool, tuple[int, ...], bool]] = []  # text, article, elements dropped by name, paragraph
+    stack: list[tuple[str, bool, bool, int]] = []  # name, dropped, article, number if dropped by name or -1
+    holds: list[bool] = []  # whether the element of that number holds an article
     parts: list[str] = []
 
     def flush() -> None:
         text = SPACE.sub(" ", entities.unescape("".join(parts))).strip()
         parts.clear()
-        if text and not any(dropped for _, dropped, _ in stack):
-            out.append((text, any(article for _, _, article in stack)))
+        if text and not any(s[1] for s in stack):
+            named = tuple(s[3] for s in stack if s[3] >= 0)
+            found.append((text, any(s[2] for s in stack), named, any(s[0] == "p" for s in stack)))
 
     for m in TOKEN.finditer(page):
         piece = m[0]
@@ -82,10 +96,10 @@ def blocks_of(page: str) -> list[tuple[str, bool]]:
             continue
         if m[1] or piece[1] in "!?":
             continue
-        found = NAME.match(piece)
-        if not found:
+        tag = NAME.match(piece)
+        if not tag:
             continue
-        name = found[1].lower()
+        name = tag[1].lower()
         if name == "br":
             parts.append(" ")
             continue
@@ -104,11 +118,28 @@ def blocks_of(page: str) -> list[tuple[str, bool]]:
             names = " ".join("".join(x) for x in NAMED.findall(piece))
             role = ROLE.search(piece)
             dropped = name in SILENT or (name in CHROME and not (name == "header" and any(s[2] for s in stack)))
-            if name not in ("article", "main", "body", "html"):
-                dropped |= bool(names and CHROME_NAMES.search(names))
+            number, article = -1, name in ("article", "main")
+            if article:
+                for s in stack:
+                    if s[3] >= 0:
+                        holds[s[3]] = True
+            elif name not in ("body", "html"):
                 dropped |= bool(role and role[1].lower() in CHROME_ROLES)
-            stack.append((name, dropped, name in ("article", "main")))
+                if names and CHROME_NAMES.search(names):
+                    number = len(holds)
+                    holds.append(False)
+            stack.append((name, dropped, article, number))
     flush()
+    if holds:
+        total, own = 0, [0] * len(holds)
+        for text, _, named, paragraph in found:
+            if paragraph:
+                total += len(text)
+                for number in named:
+                    own[number] += len(text)
+        gone = [not h and 2 * n <= total for h, n in zip(holds, own)]
+        found = [f for f in found if not any(gone[number] for number in f[2])]
+    out = [(text, article) for text, article, *_ in found]
     if any(article for _, article in out):
         out = [b for b in out if b[1]]
     return out

@@ -42,3 +42,13 @@ def test_repeats_across_pages_go(spark):
     assert by[50].text == "Head & 2\nFirst 2\nSecond line é." and by[50].n_chars == len(by[50].text)
     assert by[51].text == "" and by[52].n_chars == 0 and by[60].text.startswith("Head & 3")
     assert he.main_texts(pages.limit(0)).count() == 0
+
+
+def test_names_drop_whole_names_and_never_the_main_text():
+    text = "<p>" + "long text of the page " * 5 + "</p>"
+    own = he.blocks_of(text)
+    for wrapper in ('class="content with-sidebar"', 'id="page" class="no-sidebar"', 'class="sidebar"', 'id="related-work"'):
+        assert he.blocks_of(f"<div {wrapper}>{text}<div class='ad-slot'>Buy</div></div>") == own
+    assert he.blocks_of(f'<div class="sidebar"><div>x</div><article>{text}</article></div>') == [(own[0][0], True)]
+    assert he.blocks_of(f'<div class="post-header"><h1>Title</h1></div>{text}') == [("Title", False), *own]
+    assert he.blocks_of(f'<div class="left-sidebar x"><p>aside</p></div>{text}<div id="site_footer">us</div>') == own
