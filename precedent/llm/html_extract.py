@@ -1,40 +1,48 @@
-"""Main text of web pages, by page structure and a suffix array per host.
+"""Main text of web pages, by page structure and the runs of words that a host's pages share.
 
 A page is cut into blocks with the elements they stand in. Blocks inside menus, headers, footers, forms,
 adverts, comments and the like are dropped; so is what lies outside the article if a page
-marks one. For the rest, the word streams of a host's pages are concatenated and sorted as
-suffixes, by prefix doubling. A run of ``MIN_RUN`` words or more that stands on distinct pages is
-boilerplate where it covers a block outside an article, and inside one only if nearly all pages of
-the host carry it. What is unique to a page stays.
+marks one. For the rest, a *run* is ``LONG_RUN`` words of one block, or ``MIN_RUN`` words of a block of fewer than
+``LONG_RUN``. The runs of a host's pages are counted over all of its pages, by hash. Words in runs that stand on two pages
+or more are exactly those in common substrings of at least that length, so no suffixes need sorting.
 
-Pages of a host are dealt to groups of about ``GROUP_PAGES`` by a hash, so a host with a third of all
-pages is many groups; boilerplate stands on most pages of a host and so repeats in each of them.
+Words outside an article are boilerplate in a run that stands on two pages whose remaining text differs; words anywhere
+are in a run that nearly all pages of the host carry. They are cut from a long block; a short one goes whole.
+The remaining text of a page differs if fewer than ``COVERED`` of its words, those that nearly all pages carry aside, are in
+repeated runs: a near copy is no evidence against the text it shares, and pages of equal text count once.
+
+The pages are read four times: for the least 4-word hash inside each run (a repeated run has a repeated one, and there are fewer of them), for
+the runs whose least hash repeats, for the pages that are evidence, and for the text. Each count is one aggregate of
+partial sums. The most frequent ``BROADCAST_RUNS`` results are broadcast, the others go back to their pages by an equi-join.
 
 Edge cases: null and empty pages have no text; pages without a host form one host; pages of a host of
-their own are judged by structure only; repeated rows are repeated pages, and of one page_id and html
-count once as evidence.
+their own are judged by structure only; repeated rows are repeated pages and count once as evidence.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html as entities
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from precedent.llm.common import Tables, slices
 from precedent.session import ship_package
 
-GROUP_PAGES = 64
-#: Numbers of groups of this many large hosts at most are broadcast.
-BROADCAST_HOSTS = 100_000
+#: Counts of this many runs at most are broadcast.
+BROADCAST_RUNS = 1_000_000
+#: Words of a run in a block of fewer than ``LONG_RUN`` words, and of the hashes that stand for a longer run.
 MIN_RUN = 4
-#: A block outside an article is boilerplate if this share of its words is in repeated runs.
+LONG_RUN = 8
+#: A short block is boilerplate, and a page no evidence, if this share of the words is in repeated runs.
 COVERED = 0.8
-#: A block inside an article is boilerplate if it stands on this share of the pages, and this many.
+#: A run is boilerplate inside an article as well if it stands on this share of the pages, and this many.
 SITE_WIDE, SITE_PAGES = 0.8, 5
 # Elements by their part in a page.
 SILENT = {"script", "style", "noscript", "template", "svg", "title", "iframe", "object", "canvas", "math", "head"}
@@ -157,77 +165,256 @@ def suffix_ranks(stream: np.ndarray, length: int) -> np.ndarray:
     return rank
 
 
-def boilerplate(pages: list[list[tuple[str, bool]]], same: list[int]) -> list[list[bool]]:
-    """Which blocks of each page are boilerplate; pages of one number in ``same`` count once."""
-    words, page_of, block_of = [], [], []
-    word_id: dict[str, int] = {}
-    n = 0
-    for at, blocks in enumerate(pages):
-        for text, _ in blocks:
-            own = [word_id.setdefault(w, len(word_id)) for w in text.split(" ")]
-            # A stop of its own ends each block, so runs stay inside of blocks.
-            words += [*own, -1 - n]
-            page_of += [same[at]] * (len(own) + 1)
-            block_of += [n] * (len(own) + 1)
-            n += 1
-    flat: list[bool] = [False] * n
-    if n and len(set(same)) > 1:
-        stream, page, block = np.array(words), np.array(page_of), np.array(block_of)
-        rank = suffix_ranks(stream, MIN_RUN)
-        pairs = np.unique(np.stack([rank, page]), axis=1)[0]
-        spread = np.bincount(pairs, minlength=rank.max() + 1)[rank]  # distinct pages of each run
-        ends = np.nonzero(stream < 0)[0]
-        until = ends[np.searchsorted(ends, np.arange(len(stream)))]
-        for covered, least in ((COVERED, 2), (COVERED, max(SITE_PAGES, SITE_WIDE * len(set(same))))):
-            cover = np.zeros(len(stream) + 1, np.int64)
-            begin = np.nonzero((spread >= least) & (stream >= 0))[0]
-            np.add.at(cover, begin, 1)
-            np.add.at(cover, np.minimum(begin + MIN_RUN, until[begin]), -1)
-            hit = (np.cumsum(cover)[:-1] > 0) & (stream >= 0)
-            share = np.bincount(block[hit], minlength=n) / np.maximum(1, np.bincount(block[stream >= 0], minlength=n))
-            inside = np.array([article for blocks in pages for _, article in blocks])
-            wide = least > 2
-            flat = [f or bool(s >= covered and (wide or not a)) for f, s, a in zip(flat, share, inside)]
-    out, k = [], 0
-    for blocks in pages:
-        out.append(flat[k : k + len(blocks)])
-        k += len(blocks)
-    return out
+class WordHashes(dict):
+    """64-bit hash of each word, the same in every task."""
+
+    MOST = 1_000_000
+
+    def __missing__(self, word: str) -> int:
+        if len(self) >= self.MOST:
+            self.clear()
+        found = self[word] = int.from_bytes(hashlib.blake2b(word.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
+        return found
+
+
+def mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    x = a * np.uint64(0x9E3779B97F4A7C15) + b
+    x ^= x >> np.uint64(32)
+    x *= np.uint64(0xD6E8FEB86659FD93)
+    return x ^ (x >> np.uint64(29))
+
+
+class Runs(NamedTuple):
+    """Runs of the pages of a batch, in order of their first word."""
+
+    words: list[str]
+    page: np.ndarray  # page of each word
+    block: np.ndarray  # block of each word
+    short: np.ndarray  # whether each word's block is short
+    at: np.ndarray  # first word of each run
+    length: np.ndarray
+    key: np.ndarray
+    anchor: np.ndarray  # least hash inside each run
+
+
+def runs_of(texts: list[str], hosts: np.ndarray, hashes: WordHashes) -> Runs:
+    """Runs of texts with a block a line; hashes of different hosts differ."""
+    blocks = [t.split("\n") if t else [] for t in texts]
+    words = [w for own in blocks for b in own for w in b.split(" ")]
+    sizes = np.array([b.count(" ") + 1 for own in blocks for b in own], np.int64)
+    page = np.repeat(np.repeat(np.arange(len(texts)), [len(own) for own in blocks]), sizes)
+    block = np.repeat(np.arange(len(sizes)), sizes)
+    n = len(words)
+    left = np.repeat(np.cumsum(sizes), sizes) - np.arange(n)
+    size = np.repeat(sizes, sizes)
+    rank = np.fromiter(map(hashes.__getitem__, words), np.uint64, n)
+    rank = mixed(rank, hosts.astype(np.int64).view(np.uint64)[page])
+    ranks = {1: rank}
+    for step in (1, 2, 4):
+        after = np.zeros(n, np.uint64)
+        after[:-step] = ranks[step][step:]
+        ranks[2 * step] = mixed(ranks[step], after)
+    short = size < LONG_RUN
+    least = ranks[MIN_RUN].copy()
+    for k in range(1, LONG_RUN - MIN_RUN + 1):
+        least[:-k] = np.minimum(least[:-k], ranks[MIN_RUN][k:])
+    at = np.nonzero(left >= np.where(short, MIN_RUN, LONG_RUN))[0]
+    few = short[at]
+    key = np.where(few, ranks[MIN_RUN][at], ranks[LONG_RUN][at]).view(np.int64)
+    anchor = np.where(few, ranks[MIN_RUN][at], least[at]).view(np.int64)
+    return Runs(words, page, block, short, at, np.where(few, MIN_RUN, LONG_RUN), key, anchor)
+
+
+def covered(runs: Runs, chosen: np.ndarray) -> np.ndarray:
+    """Whether each word lies in a chosen run."""
+    change = np.zeros(len(runs.words) + 1, np.int64)
+    np.add.at(change, runs.at[chosen], 1)
+    np.add.at(change, runs.at[chosen] + runs.length[chosen], -1)
+    return np.cumsum(change)[:-1] > 0
+
+
+def once_a_page(runs: Runs, values: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """Places in ``runs`` of the chosen values, each once for a page."""
+    where = np.nonzero(chosen)[0]
+    both = mixed(runs.page[runs.at[where]].astype(np.uint64), values[where].view(np.uint64))
+    return where[np.unique(both, return_index=True)[1]]
+
+
+class Counts:
+    """(n, m) of broadcast keys: pages with the run, and those of them that are evidence."""
+
+    def __init__(self, table: pa.Table):
+        order = np.argsort(table.column("key").to_numpy())
+        self.key, self.n, self.m = (table.column(c).to_numpy()[order] for c in ("key", "n", "m"))
+
+    def of(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """n and m of each key; 1 and 0 if there is none."""
+        n, m = np.ones(len(keys), np.int64), np.zeros(len(keys), np.int64)
+        if len(self.key):
+            place = np.minimum(np.searchsorted(self.key, keys), len(self.key) - 1)
+            hit = self.key[place] == keys
+            n[hit], m[hit] = self.n[place[hit]], self.m[place[hit]]
+        return n, m
+
+
+class Pages:
+    """The stored pages of one run, and passes over their runs."""
+
+    def __init__(self, pages: DataFrame, most: int):
+        self.pages, self.most = pages, most
+
+    def sums(self, choose: Callable[[Runs, pa.RecordBatch], np.ndarray], pages: DataFrame) -> DataFrame:
+        """(key, n): the pages of each chosen key, a page of repeated text once."""
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            hashes = WordHashes()
+            for batch in slices(batches, "text"):
+                runs = runs_of(batch.column("text").to_pylist(), batch.column("host").to_numpy(), hashes)
+                yield pa.RecordBatch.from_arrays([pa.array(choose(runs, batch))], names=["key"])
+
+        return pages.where("first").mapInArrow(run, "key long").groupBy("key").agg(F.count("*").alias("n"))
+
+    def joined(self, counts: DataFrame, field: str) -> tuple[DataFrame, Callable[[Runs, pa.RecordBatch], tuple[np.ndarray, np.ndarray]]]:
+        """The pages, and a function that gives n and m of each of their runs' ``field``."""
+        spark = self.pages.sparkSession
+        sizes = dict(counts.groupBy(F.floor(F.log2("n")).alias("k")).count().collect())
+        least, total = max(sizes, default=0) + 1, 0
+        while least > 0 and total + sizes.get(least - 1, 0) <= self.most:
+            least -= 1
+            total += sizes.get(least, 0)
+        hot = counts.where(F.col("n") >= 2**least).select("key", "n", "m").toArrow()
+        sent = spark.sparkContext.broadcast(Counts(hot))
+        pages = self.pages
+        if least > min(sizes, default=0):
+            # No key of these has more than one in ``most`` of the rows.
+            rare = counts.where(F.col("n") < 2**least).select("key", "n", "m")
+
+            def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+                hashes = WordHashes()
+                for batch in slices(batches, "text"):
+                    runs = runs_of(batch.column("text").to_pylist(), batch.column("host").to_numpy(), hashes)
+                    values = getattr(runs, field)
+                    keep = once_a_page(runs, values, sent.value.of(values)[0] < 2)
+                    rid = batch.column("rid").to_numpy()[runs.page[runs.at[keep]]]
+                    yield pa.RecordBatch.from_arrays([pa.array(rid), pa.array(values[keep])], names=["rid", "key"])
+
+            met = pages.mapInArrow(emit, "rid long, key long").join(rare, "key")
+            met = met.groupBy("rid").agg(F.collect_list(F.struct("key", "n", "m")).alias("rare"))
+            pages = pages.join(met, "rid", "left")
+        else:
+            pages = pages.withColumn("rare", F.lit(None).cast("array<struct<key:long,n:long,m:long>>"))
+
+        def find(runs: Runs, batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+            values = getattr(runs, field)
+            n, m = sent.value.of(values)
+            own = batch.column("rare").flatten()
+            if len(own):
+                table = pa.Table.from_arrays(own.flatten(), names=["key", "n", "m"])
+                # A key belongs to one host, so all its pages agree.
+                first = np.unique(table.column("key").to_numpy(), return_index=True)[1]
+                n_own, m_own = Counts(table.take(pa.array(first))).of(values)
+                n, m = np.maximum(n, n_own), np.maximum(m, m_own)
+            return n, m
+
+        return pages, find
+
+
+def wide_runs(runs: Runs, n: np.ndarray, batch: pa.RecordBatch) -> np.ndarray:
+    """Whether nearly all pages of its host carry each run."""
+    least = np.maximum(SITE_PAGES, SITE_WIDE * batch.column("site").to_numpy())
+    return n >= least[runs.page[runs.at]]
 
 
 TEXTS = "page_id long, url string, text string, n_chars long"
+STORED = "rid long, page_id long, url string, host long, page long, text string, article boolean"
 
 
-def main_texts(pages: DataFrame) -> DataFrame:
+def main_texts(pages: DataFrame, most: int = BROADCAST_RUNS) -> DataFrame:
     """(page_id, url, text, n_chars) of every row of ``pages`` (page_id, url, html)."""
-    ship_package(pages.sparkSession)
+    spark = pages.sparkSession
+    ship_package(spark)
+    tables = Tables(spark, "html")
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]*)", 1))
-    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html", host.alias("host"))
-    large = rows.groupBy("host").agg(F.ceil(F.count("*") / GROUP_PAGES).alias("groups")).where("groups > 1")
-    few = large.limit(BROADCAST_HOSTS + 1).count() <= BROADCAST_HOSTS
-    dealt = rows.join(F.broadcast(large) if few else large, "host", "left")
-    # Equal pages meet in one group.
-    part = F.pmod(F.xxhash64("page_id", "url"), F.coalesce("groups", F.lit(1)))
-    dealt = dealt.withColumn("part", part)
-    if not few:
-        # The join has dealt the pages out by host; a large host has to be dealt out again.
-        dealt = dealt.repartition("host", "part")
-
-    def extract(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
-        html = group.column("html").to_pylist()
-        ids = group.column("page_id").to_pylist()
-        blocks = [blocks_of(h or "") for h in html]
-        number: dict = {}
-        same = [number.setdefault((i, h), len(number)) for i, h in zip(ids, html)]
-        drop = boilerplate(blocks, same)
-        texts = ["\n".join(t for (t, _), d in zip(b, ds) if not d) for b, ds in zip(blocks, drop)]
-        return pa.table(
-            {
-                "page_id": group.column("page_id"),
-                "url": group.column("url"),
-                "text": pa.array(texts, pa.string()),
-                "n_chars": pa.array([len(t) for t in texts], pa.int64()),
-            }
+    rows = pages.select(
+        F.monotonically_increasing_id().alias("rid"), F.col("page_id").cast("long").alias("page_id"), "url", "html", F.xxhash64(host).alias("host")
+    )
+
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "html"):
+            blocks = [blocks_of(h or "") for h in batch.column("html").to_pylist()]
+            texts = ["\n".join(t for t, _ in own) for own in blocks]
+            seeds = batch.column("host").to_pylist()
+            names = [
+                int.from_bytes(hashlib.blake2b(f"{s} {t}".encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
+                for s, t in zip(seeds, texts)
+            ]
+            # A page that marks an article keeps only blocks inside of one.
+            article = [bool(own) and own[0][1] for own in blocks]
+            columns = [batch.column(c) for c in ("rid", "page_id", "url", "host")]
+            columns += [pa.array(names, pa.int64()), pa.array(texts, pa.string()), pa.array(article, pa.bool_())]
+            yield pa.RecordBatch.from_arrays(columns, names=["rid", "page_id", "url", "host", "page", "text", "article"])
+
+    parsed = tables.store(rows.mapInArrow(parse, STORED), "parsed")
+    distinct = tables.store(
+        parsed.where("text != ''").groupBy("host", "page").agg(F.min("rid").alias("lead"), F.count("*").alias("copies")), "distinct"
+    )
+    sites = distinct.groupBy("host").agg(F.count("*").alias("site"))
+    again = distinct.where("copies > 1").select("page", "lead")
+    every = (
+        parsed.join(again, "page", "left")
+        .join(sites, "host", "left")
+        .select(
+            "rid", "page_id", "url", "host", "text", "article", F.coalesce("site", F.lit(0)).alias("site"),
+            F.coalesce(F.col("lead") == F.col("rid"), F.lit(True)).alias("first"),
         )
+    )
+    whole = Pages(every, most)
+
+    def anchors(runs: Runs, batch: pa.RecordBatch) -> np.ndarray:
+        return runs.anchor[once_a_page(runs, runs.anchor, np.ones(len(runs.at), bool))]
+
+    zero = F.lit(0).cast("long").alias("m")
+    found = tables.store(whole.sums(anchors, every.where("site > 1")).where("n > 1").select("key", "n", zero), "anchors")
+    candidates, anchor_counts = whole.joined(found, "anchor")
+
+    def repeated(runs: Runs, batch: pa.RecordBatch) -> np.ndarray:
+        return runs.key[once_a_page(runs, runs.key, anchor_counts(runs, batch)[0] > 1)]
+
+    counts = tables.store(whole.sums(repeated, candidates).where("n > 1").select("key", "n", zero), "runs")
+    judged, run_counts = whole.joined(counts, "key")
+
+    def evidence(runs: Runs, batch: pa.RecordBatch) -> np.ndarray:
+        n, _ = run_counts(runs, batch)
+        rest = ~covered(runs, wide_runs(runs, n, batch))
+        own = ~covered(runs, n > 1)
+        size = batch.num_rows
+        total = np.bincount(runs.page[rest], minlength=size)
+        alone = np.bincount(runs.page[own], minlength=size)
+        differs = (alone > 0) & (alone > (1 - COVERED) * total)
+        return runs.key[once_a_page(runs, runs.key, (n > 1) & differs[runs.page[runs.at]])]
+
+    seen = whole.sums(evidence, judged).select("key", F.col("n").alias("seen"))
+    both = counts.drop("m").join(seen, "key", "left").select("key", "n", F.coalesce("seen", F.lit(0)).cast("long").alias("m"))
+    last, all_counts = whole.joined(tables.store(both, "evidence"), "key")
+
+    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        for batch in slices(batches, "text"):
+            texts = batch.column("text").to_pylist()
+            runs = runs_of(texts, batch.column("host").to_numpy(), hashes)
+            n, m = all_counts(runs, batch)
+            inside = batch.column("article").to_numpy(zero_copy_only=False)[runs.page[runs.at]]
+            cut = covered(runs, wide_runs(runs, n, batch) | ((m > 1) & ~inside))
+            blocks = runs.block[-1] + 1 if len(runs.block) else 0
+            share = np.bincount(runs.block[cut], minlength=blocks) / np.bincount(runs.block, minlength=blocks)
+            cut = np.where(runs.short, (share >= COVERED)[runs.block], cut) if blocks else cut
+            for row in np.unique(runs.page[cut]).tolist():
+                begin, end = np.searchsorted(runs.page, [row, row + 1])
+                lines: dict[int, list[str]] = {}
+                for at in (begin + np.nonzero(~cut[begin:end])[0]).tolist():
+                    lines.setdefault(runs.block[at], []).append(runs.words[at])
+                texts[row] = "\n".join(map(" ".join, lines.values()))
+            columns = [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["page_id", "url", "text", "n_chars"])
 
-    return dealt.groupBy("host", "part").applyInArrow(extract, TEXTS)
+    return last.mapInArrow(finish, TEXTS)

@@ -52,3 +52,34 @@ def test_names_drop_whole_names_and_never_the_main_text():
     assert he.blocks_of(f'<div class="sidebar"><div>x</div><article>{text}</article></div>') == [(own[0][0], True)]
     assert he.blocks_of(f'<div class="post-header"><h1>Title</h1></div>{text}') == [("Title", False), *own]
     assert he.blocks_of(f'<div class="left-sidebar x"><p>aside</p></div>{text}<div id="site_footer">us</div>') == own
+
+
+def _texts(spark, rows, **more):
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    return {r.page_id: r.text for r in he.main_texts(pages, **more).collect()}
+
+
+def _words(rng, n):
+    return " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+
+
+def test_runs_equal_exact_numbers():
+    rng = np.random.default_rng(3)
+    words = [f"w{k}" for k in rng.integers(0, 2, 300)]
+    runs = he.runs_of([" ".join(words)], np.array([5]), he.WordHashes())
+    exact = he.suffix_ranks(np.array([int(w[1:]) for w in words]), he.LONG_RUN)[: len(runs.key)]
+    assert len(runs.key) == 300 - he.LONG_RUN + 1
+    assert len(set(zip(runs.key.tolist(), exact.tolist()))) == len(set(runs.key.tolist())) == len(set(exact.tolist()))
+    anchor = dict(zip(runs.key.tolist(), runs.anchor.tolist()))
+    assert all(anchor[k] == a for k, a in zip(runs.key.tolist(), runs.anchor.tolist()))
+
+
+def test_two_pages_of_a_large_host_are_enough(spark):
+    rng = random.Random(4)
+    own = [_words(rng, 20) for _ in range(1000)]
+    notes = [_words(rng, 5 + 7 * (k % 2)) for k in range(500)]  # each on two pages far apart
+    rows = [(i, "http://a.example/", f"<div>{notes[i % 500]}</div><div>{own[i]}</div>") for i in range(1000)]
+    expected = dict(enumerate(own))
+    assert _texts(spark, rows) == expected
+    assert _texts(spark, rows, most=0) == expected  # every count by the join
+    assert _texts(spark, rows[:20] + rows[500:520]) == {i: own[i] for i in (*range(20), *range(500, 520))}
