@@ -227,9 +227,8 @@ def runs_of(texts: list[str], hosts: np.ndarray, hashes: WordHashes) -> Runs:
 
 def covered(runs: Runs, chosen: np.ndarray) -> np.ndarray:
     """Whether each word lies in a chosen run."""
-    change = np.zeros(len(runs.words) + 1, np.int64)
-    np.add.at(change, runs.at[chosen], 1)
-    np.add.at(change, runs.at[chosen] + runs.length[chosen], -1)
+    size, begin = len(runs.words) + 1, runs.at[chosen]
+    change = np.bincount(begin, minlength=size) - np.bincount(begin + runs.length[chosen], minlength=size)
     return np.cumsum(change)[:-1] > 0
 
 
@@ -360,14 +359,19 @@ def main_texts(pages: DataFrame, most: int = BROADCAST_RUNS) -> DataFrame:
     )
     sites = distinct.groupBy("host").agg(F.count("*").alias("site"))
     again = distinct.where("copies > 1").select("page", "lead")
+    # The texts are not shuffled for small tables.
+    few = [t.limit(most + 1).count() <= most for t in (again, sites)]
     every = (
-        parsed.join(again, "page", "left")
-        .join(sites, "host", "left")
+        parsed.join(F.broadcast(again) if few[0] else again, "page", "left")
+        .join(F.broadcast(sites) if few[1] else sites, "host", "left")
         .select(
             "rid", "page_id", "url", "host", "text", "article", F.coalesce("site", F.lit(0)).alias("site"),
             F.coalesce(F.col("lead") == F.col("rid"), F.lit(True)).alias("first"),
         )
     )
+    if not all(few):
+        every = tables.store(every, "every")
+        tables.drop("parsed")
     whole = Pages(every, most)
 
     def anchors(runs: Runs, batch: pa.RecordBatch) -> np.ndarray:

@@ -83,3 +83,14 @@ def test_two_pages_of_a_large_host_are_enough(spark):
     assert _texts(spark, rows) == expected
     assert _texts(spark, rows, most=0) == expected  # every count by the join
     assert _texts(spark, rows[:20] + rows[500:520]) == {i: own[i] for i in (*range(20), *range(500, 520))}
+
+
+def test_copies_keep_their_text_and_only_runs_are_cut(spark):
+    rng = random.Random(5)
+    foot = _words(rng, 12)
+    own = [_words(rng, 60) for _ in range(8)]
+    rows = [(i, "http://a.example/", f"<div>{own[i]} {foot}</div>") for i in range(8)]
+    rows += [(10, "http://a.example/", rows[0][2]), (11, "http://a.example/", f"<div>{own[1]} updated {foot}</div>")]
+    expected = dict(enumerate(own)) | {10: own[0], 11: f"{own[1]} updated"}
+    assert _texts(spark, rows) == expected
+    assert _texts(spark, rows, most=3) == expected
