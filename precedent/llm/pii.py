@@ -39,6 +39,8 @@ OPEN_WORD = re.compile(r"[^\x20\x09-\x0D]*[0-9@][^\x20\x09-\x0D]*")
 #: Runs of the labelled table at most: those of the least hash.
 TRAINING_RUNS = 3000
 MAX_SHAPES = 2000
+#: Runs, and words with padding, that are decoded at a time; words whose scores are held at a time.
+BLOCK_RUNS, BLOCK_CELLS, SCORE_CELLS = 4096, 1 << 20, 1 << 16
 OUTSIDE = len(KINDS)
 CARD_KIND = KINDS.index("card")
 EPOCHS, RATE, DECAY = 60, 0.5, 1e-3
@@ -170,28 +172,37 @@ class Crf:
     def decode(self, runs: list[list[str]]) -> list[list[int]]:
         """Viterbi labels of runs, those of similar length together."""
         out: list[list[int]] = [[] for _ in runs]
-        order = sorted(range(len(runs)), key=lambda i: len(runs[i]))
-        for at in range(0, len(order), 4096):
-            block = order[at : at + 4096]
+        for block in blocks_of_cells(sorted(range(len(runs)), key=lambda i: len(runs[i])), [len(r) for r in runs]):
             ids, length = self._ids([runs[i] for i in block])
-            score = self._scores(ids)
-            best, back = score[:, 0].copy(), []
-            for t in range(1, score.shape[1]):
-                moves = best[:, :, None] + self.pair
-                step = np.where((t < length)[:, None], moves.argmax(axis=1), np.arange(len(KINDS) + 1))
-                best = np.where((t < length)[:, None], moves.max(axis=1) + score[:, t], best)
-                back.append(step)
-            label = best.argmax(axis=1)
-            path = [label]
-            for step in reversed(back):
-                label = step[np.arange(len(label)), label]
-                path.append(label)
-            path = np.array(path[::-1]).T
+            n, steps = len(block), ids.shape[1] - 2
+            back = np.empty((steps, n, len(KINDS) + 1), np.int8)
+            wide = max(1, SCORE_CELLS // n)
+            for begin in range(0, steps, wide):
+                score = self._scores(ids[:, begin : begin + wide + 2])
+                if not begin:
+                    best = score[:, 0].copy()
+                for t in range(max(1, begin), min(steps, begin + wide)):
+                    moves = best[:, :, None] + self.pair
+                    back[t] = np.where((t < length)[:, None], moves.argmax(axis=1), np.arange(len(KINDS) + 1))
+                    best = np.where((t < length)[:, None], moves.max(axis=1) + score[:, t - begin], best)
+            path = np.empty((steps, n), np.int8)
+            label = path[-1] = best.argmax(axis=1)
+            for t in range(steps - 1, 0, -1):
+                label = path[t - 1] = back[t][np.arange(n), label]
             for row, i in enumerate(block):
-                out[i] = path[row, : length[row]].tolist()
+                out[i] = path[: length[row], row].tolist()
         return out
 
 
+def blocks_of_cells(order: list[int], length: list[int]) -> Iterator[list[int]]:
+    """``order``, which goes by length, in blocks of ``BLOCK_CELLS`` padded words; a longer run is alone."""
+    begin = 0
+    for at in range(1, len(order) + 1):
+        if at == len(order) or at - begin == BLOCK_RUNS or (at + 1 - begin) * length[order[at]] > BLOCK_CELLS:
+            yield order[begin:at]
+            begin = at
+
+
 def _log_sum(x: np.ndarray, axis: int) -> np.ndarray:
     top = x.max(axis=axis, keepdims=True)
     return np.squeeze(top, axis) + np.log(np.exp(x - top).sum(axis=axis))

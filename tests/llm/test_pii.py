@@ -77,3 +77,24 @@ def test_crf_learns_numbers_without_country_code(spark):
     rows = {r.doc_id: r for r in pii.find_pii(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
     assert rows[200].spans == "phone:5:19" and rows[200].n_phone == 0
     assert rows[201].spans == ""
+
+
+def test_long_runs_are_decoded_in_little_memory(monkeypatch):
+    import tracemalloc
+
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    crf = pii.Crf(["a", "b", "c"])
+    crf.unary[:] = rng.normal(size=crf.unary.shape)
+    crf.pair[:] = rng.normal(size=crf.pair.shape)
+    runs = [["a", "b"]] * 1000 + [list(rng.choice(["a", "b", "c"], 5000))]
+    tracemalloc.start()
+    found = crf.decode(runs)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 50e6  # padded to the longest run, one array of scores is 200 MB
+    monkeypatch.setattr(pii, "SCORE_CELLS", 7)
+    monkeypatch.setattr(pii, "BLOCK_CELLS", 50)
+    assert crf.decode(runs) == found
+    assert all(len(x) == len(y) for x, y in zip(found, runs))
