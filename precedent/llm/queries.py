@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 
 from precedent.llm import (
     bpe,
+    curriculum,
     decontaminate,
     html_extract,
     language,
+    merkle,
     ngram_join,
     pii,
     quality_classifier,
@@ -77,6 +79,15 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.main_texts(read_table(spark, sf_dir, "pages"))
 
 
+def op11_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = curriculum.mix(read_table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.audit(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_decontamination": op2_decontamination,
@@ -88,4 +99,6 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_secret_scan": op9_secret_scan,
     "op10_html_extraction": op10_html_extraction,
+    "op11_curriculum_mix": op11_curriculum_mix,
+    "op12_merkle_manifest": op12_merkle_manifest,
 }
