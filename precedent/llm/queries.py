@@ -18,6 +18,7 @@ from precedent.llm import (
     quality_classifier,
     quality_rules,
     secret_scan,
+    spelling,
     token_files,
 )
 from precedent.llm.common import read_table
@@ -88,6 +89,10 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.audit(read_table(spark, sf_dir, "documents"))
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_decontamination": op2_decontamination,
@@ -101,4 +106,5 @@ QUERIES = {
     "op10_html_extraction": op10_html_extraction,
     "op11_curriculum_mix": op11_curriculum_mix,
     "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_spelling_variants": op13_spelling_variants,
 }

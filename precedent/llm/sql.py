@@ -156,4 +156,5 @@ SELECT f.word, f.form, r.root, f.n, f.n_near, f.form_n FROM forms f JOIN roots r
 ORACLE: dict[str, str] = {
     "op11_curriculum_mix": MIX,
     "op12_merkle_manifest": MERKLE,
+    "op13_spelling_variants": VARIANTS,
 }
