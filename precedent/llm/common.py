@@ -32,6 +32,22 @@ def fold(doc_id: int | None) -> int:
     return zlib.crc32(b"" if doc_id is None else str(doc_id).encode()) % 3
 
 
+def others(df: DataFrame, added: list[str]) -> list[str]:
+    """Columns of ``df`` that carry no name of ``added`` in any case, quoted for ``select``."""
+    taken = {name.lower() for name in added}
+    return ["`" + c.replace("`", "``") + "`" for c in df.columns if c.lower() not in taken]
+
+
+def spare_names(df: DataFrame, names: list[str]) -> list[str]:
+    """The names, each lengthened until no column of ``df`` has it in any case."""
+    taken, found = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        found.append(name)
+    return found
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
     """The same rows in batches whose ``column`` holds about ``SLICE_BYTES`` at most.
 

@@ -148,7 +148,7 @@ def mix(
         begin = k.cast("long") * F.col("_total") + F.col("_sum")
         words = F.greatest(F.lit(0).cast("long"), F.least(F.col("size"), quota - begin))
         # The last word is due before the schedule ends, also where the target was rounded up.
-        share = F.least(begin / F.col("target"), F.lit(1 - 1e-12))
+        share = F.least(F.try_divide(begin, F.col("target")), F.lit(1 - 1e-12))
         return F.struct(k.alias("copy"), due_time(F.col("pieces"), F.col("weight") * share).alias("position"), words.alias("words"))
 
     copies = F.filter(F.transform(F.array(*map(F.lit, range(max_repeats))), copy), lambda c: c["words"] > 0)

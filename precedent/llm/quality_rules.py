@@ -5,7 +5,8 @@ notice, a run of symbols, or shouting? Failing lines are removed, and a document
 it is gone, or by the base rules (too few words, too many words in repeated 5-word windows).
 
 Edge cases: a null or blank text has no words and fails the base rule; a repeated line stays but
-is counted; columns of the input that carry a name of the result are replaced.
+is counted; columns of the input that carry a name of the result (in any case) are replaced, all
+others stay.
 """
 
 from __future__ import annotations
@@ -13,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from precedent.llm.common import others, spare_names
+
 SPACE = r"[\x20\x09-\x0D]+"
 NON_SPACE = r"[^\x20\x09-\x0D]"
 SYMBOLS = "#*$%&|<>"
@@ -93,16 +96,17 @@ def quality_columns(docs: DataFrame, text: str = "text") -> DataFrame:
     whole = F.coalesce(F.col(text), F.lit(""))
     added = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
              "base_failed", "clean_text", "lost_share", "kept"]
-    kept = [c for c in docs.columns if c not in added]
+    kept = others(docs, added)
+    hashed, line_list, windows, good, keyed, before = spare_names(docs, ["_hashes", "_lines", "_windows", "_good", "_keyed", "_before"])
     lines = F.filter(F.split(whole, "\n"), lambda line: line.rlike(NON_SPACE))
     step = docs.select(
         *kept,
-        F.transform(words(F.col(text)), lambda w: F.xxhash64(w)).alias("_hashes"),
-        lines.alias("_lines"),
+        F.transform(words(F.col(text)), lambda w: F.xxhash64(w)).alias(hashed),
+        lines.alias(line_list),
         F.length(F.translate(whole, " \t\n\x0b\x0c\r", "")).cast("long").alias("word_chars"),
         _count(whole, SYMBOLS).cast("long").alias("n_symbols"),
     )
-    hashes = F.col("_hashes")
+    hashes = F.col(hashed)
     n = F.size(hashes)
     window = F.transform(
         F.when(n >= 5, F.sequence(F.lit(0), n - 5)).otherwise(F.array().cast("array<int>")),
@@ -111,25 +115,25 @@ def quality_columns(docs: DataFrame, text: str = "text") -> DataFrame:
     step = step.withColumns(
         {
             "n_words": n.cast("long"),
-            "_windows": window,
-            "_good": F.filter("_lines", lambda line: ~line_fails(line)),
+            windows: window,
+            good: F.filter(line_list, lambda line: ~line_fails(line)),
         }
     )
     step = step.withColumns(
         {
-            "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
-            "_keyed": _keyed_windows(F.col("_windows")),
-            "clean_text": F.array_join("_good", "\n"),
-            "_before": F.length(F.array_join("_lines", "\n")),
+            "n_dup_lines": (F.size(line_list) - F.size(F.array_distinct(line_list))).cast("long"),
+            keyed: _keyed_windows(F.col(windows)),
+            "clean_text": F.array_join(good, "\n"),
+            before: F.length(F.array_join(line_list, "\n")),
         }
     )
-    covered = _covered_words(_repeat_starts(F.col("_keyed")))
+    covered = _covered_words(_repeat_starts(F.col(keyed)))
     step = step.withColumn("n_repeat_words", covered.cast("long"))
     base = (F.col("n_words") < MIN_WORDS) | (
         100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")
     )
-    lost = F.when(F.col("_before") == 0, F.lit(0.0)).otherwise(
-        1 - F.length("clean_text") / F.col("_before")
+    lost = F.when(F.col(before) == 0, F.lit(0.0)).otherwise(
+        1 - F.length("clean_text") / F.col(before)
     )
     step = step.withColumns({"base_failed": base, "lost_share": lost})
     return step.select(*kept, *added[:-1], (~F.col("base_failed") & (F.col("lost_share") <= MAX_LOST)).alias("kept"))

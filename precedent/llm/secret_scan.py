@@ -180,27 +180,29 @@ def scan_secrets(docs: DataFrame, text: str = "text", allow: tuple[str, ...] = A
     """``docs`` with n_assign, n_access, n_hex, base_spans, secret_spans (all, sorted by start, then kind),
     and both written as text."""
     added = ["n_assign", "n_access", "n_hex", "base_spans", "secret_spans", "base_text", "spans"]
-    kept = [c for c in docs.columns if c not in added]
+    kept = others(docs, added)
+    names = spare_names(docs, ["_assign", "_access", "_hex", "_entropy"])
+    assigned, accessed, hexed, random = names
     whole = F.coalesce(F.col(text), F.lit(""))
     assign, access, hexes = base_spans(whole)
     step = docs.select(
         *kept,
-        assign.alias("_assign"),
-        access.alias("_access"),
-        hexes.alias("_hex"),
-        entropy_spans(whole, allow).alias("_entropy"),
+        assign.alias(assigned),
+        access.alias(accessed),
+        hexes.alias(hexed),
+        entropy_spans(whole, allow).alias(random),
     )
-    step = step.withColumn("base_spans", F.sort_array(F.concat("_assign", "_access", "_hex")))
+    step = step.withColumn("base_spans", F.sort_array(F.concat(assigned, accessed, hexed)))
     new = F.filter(
-        "_entropy",
+        random,
         lambda e: ~F.exists("base_spans", lambda b: (b["start"] < e["end"]) & (e["start"] < b["end"])),
     )
     step = step.withColumn("secret_spans", F.sort_array(F.concat("base_spans", new)))
     return step.select(
         *kept,
-        F.size("_assign").cast("long").alias("n_assign"),
-        F.size("_access").cast("long").alias("n_access"),
-        F.size("_hex").cast("long").alias("n_hex"),
+        F.size(assigned).cast("long").alias("n_assign"),
+        F.size(accessed).cast("long").alias("n_access"),
+        F.size(hexed).cast("long").alias("n_hex"),
         "base_spans",
         "secret_spans",
         _written(F.col("base_spans")).alias("base_text"),

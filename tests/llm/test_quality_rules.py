@@ -1,5 +1,6 @@
 import random
 import re
+import unicodedata
 
 from precedent.llm import quality_rules
 
@@ -48,3 +49,54 @@ def test_lines_are_judged_one_by_one(spark):
     assert all(rows[i].clean_text == "" for i in range(1, 6))
     assert rows[6].kept and rows[6].clean_text == prose + " Twice."
     assert not rows[7].kept and rows[7].clean_text == prose
+
+
+def line_fails(line):
+    upper, lower = (sum(unicodedata.category(c) == k for c in line) for k in ("Lu", "Ll"))
+    gaps = sum(c in " \t" for c in line) + 1
+    separators = len(re.findall(r"[ \t\n\x0b\f\r][|»›·•][ \t\n\x0b\f\r]", line))
+    return (
+        sum(c in "#*$%&|<>" for c in line) * 5 > gaps * 2
+        or separators >= 2
+        or re.search(quality_rules.BOILERPLATE.replace(r"\s", r"[ \t\n\x0b\f\r]"), line, re.A) is not None
+        or (upper > 20 and upper > 2 * lower)
+        or (gaps >= 8 and re.search(quality_rules.SENTENCE_END.replace(r"\s", r"[ \t\n\x0b\f\r]"), line) is None)
+    )
+
+
+def test_kept_equals_brute_force(spark):
+    rng = random.Random(11)
+    lines = [
+        "All of these words make one plain sentence, and it ends.",
+        "This long line of many words never comes to any end at all",
+        "Home | News | About",
+        "LOUD WORDS AND MORE LOUD WORDS EVERYWHERE",
+        "copyright 2020 by some people",
+        "a # b ## c ###",
+        "Heading",
+        "Ein Satz mit Ümlauten und » Zeichen « darin.",
+        "",
+        "   ",
+    ]
+    texts = ["\n".join(rng.choices(lines, k=rng.randint(0, 12))) for _ in range(250)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    verdicts = set()
+    for r in quality_rules.quality_columns(docs).collect():
+        worded = [x for x in texts[r.doc_id].split("\n") if x.strip(" \t")]
+        good = "\n".join(x for x in worded if not line_fails(x))
+        before = len("\n".join(worded))
+        lost = 1 - len(good) / before if before else 0.0
+        assert r.clean_text == good
+        assert r.kept == (not brute(texts[r.doc_id])[-1] and lost <= 0.5)
+        verdicts.add((r.base_failed, r.kept))
+    assert verdicts == {(True, False), (False, True), (False, False)}
+
+
+def test_helper_names_and_other_cases_do_not_clash(spark):
+    names = ["_lines", "_hashes", "_GOOD", "_windows", "_keyed", "_before", "_before_", "a.b", "Kept", "N_WORDS"]
+    row = (1, "One two three four five six seven eight nine ten.", *range(len(names)))
+    schema = "doc_id long, text string, " + ", ".join(f"`{n}` int" for n in names)
+    found = quality_rules.quality_columns(spark.createDataFrame([row], schema))
+    assert found.columns[:10] == ["doc_id", "text", *names[:8]]
+    out = found.collect()[0]
+    assert (out["n_words"], out["kept"], out["a.b"], out["_GOOD"]) == (10, True, 7, 2)
