@@ -1,9 +1,12 @@
 import __spark_entry__ as contract
+from oracle import ORACLE
+from workload import QUERIES
 
 
 def test_every_query_but_the_approximate_one_has_sql():
-    assert set(contract.queries()) - set(contract.oracle_sql()) == {"ivf_recall"}
-    assert set(contract.oracle_sql()) <= set(contract.queries())
+    assert set(QUERIES) - set(ORACLE) == {"ivf_recall"}
+    assert set(ORACLE) <= set(QUERIES) <= set(contract.queries())
+    assert set(ORACLE) <= set(contract.oracle_sql()) <= set(contract.queries())
 
 
 def test_entry_runs(spark):
