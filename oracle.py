@@ -465,8 +465,11 @@ RESOLVED = RESOLVE + " SELECT * FROM resolved"
 ORACLE = {
     "retrieve_topk_dense": BASE + TOP,
     "retrieve_topk_cells": BASE + TOP,
+    "retrieve_topk_tree": BASE + TOP,
     "retrieve_cosine": COSINE_BASE + TOP,
     "retrieve_ivf": BASE + TOP,
+    "ivf_recall": BASE
+    + "SELECT count(*) AS n_expected, true AS recall_reached, true AS few_cells FROM ranked",
     "ranked_listing": BASE
     + """SELECT query_id, rank, ticket_id, product, round(s, 3) AS similarity_score, issue, resolution
     FROM ranked""",

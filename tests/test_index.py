@@ -180,3 +180,38 @@ def test_given_vectors(spark, tmp_path):
     )
     best = retrieve(index, asked, given, 1).head()
     assert (best.ticket_id, best.similarity_score) == ("SR903", pytest.approx(1.0))
+
+
+def random_vectors(spark, n, prefix, seed):
+    import numpy as np
+
+    rng = np.random.default_rng(seed)
+    rows = [(f"{prefix}{i:03d}", "p", f"issue text {i}", "r", [float(x) for x in rng.normal(size=5)]) for i in range(n)]
+    return spark.createDataFrame(rows, "ticket_id string, product string, issue string, resolution string, vector array<double>")
+
+
+def top(found):
+    return sorted((r.query_id, r["rank"], r.ticket_id, round(r.similarity_score, 9)) for r in found.collect())
+
+
+def test_stored_cells_of_every_kind_answer_alike(spark, tmp_path):
+    rows = random_vectors(spark, 200, "SR", 1)
+    asked = random_vectors(spark, 30, "Q", 2).select(F.col("ticket_id").alias("query_id"), "issue", "vector")
+    given = vector_column("vector", "given")
+    plans = {"one": {}, "borders": {"border_share": 0.5, "n_cells": 20}, "two": {"two_levels": True, "leaf_rows": 10}}
+    index = {name: build_index(rows, str(tmp_path / name), given, **plan) for name, plan in plans.items()}
+    exact = top(retrieve(index["one"], asked, given, 4))
+    assert len(exact) == 120
+    for name in plans:
+        opened = open_index(spark, index[name].path)
+        assert opened.vectors().count() == 200
+        assert top(retrieve(opened, asked, given, 4, broadcast_bytes=0)) == exact
+    assert index["two"].tree().leaves.count() == index["two"].n_leaves > 10
+    assert index["one"].tree() is None and 280 < index["borders"].vectors(copies=True).count() < 320
+    for name in ("one", "borders"):
+        found = top(retrieve(index[name], asked, given, 4, recall_target=0.95))
+        assert len(found) == 120 and len({x[::2] for x in found} & {x[::2] for x in exact}) >= 0.95 * 120
+    with pytest.raises(InputError):
+        retrieve(index["two"], asked, given, 4, recall_target=0.9)
+    with pytest.raises(InputError):
+        build_index(rows, str(tmp_path / "both"), given, two_levels=True, border_share=0.1)

@@ -19,9 +19,9 @@ from precedent.functions.prompts import (
     repair_messages,
 )
 from precedent.functions.text import citations
-from precedent.operators import dense, lexical, metrics, validate
+from precedent.operators import dense, lexical, metrics, probing, validate
 from precedent.operators.gate import gate_and_select
-from precedent.operators.rank import evidence_lists, ranked_listing, with_ticket_fields
+from precedent.operators.rank import evidence_lists, ranked_listing, top_k_per_query, with_ticket_fields
 from precedent.operators.vectorize import embed_function, tf_idf, vector_column, with_vectors
 from precedent.plans.evaluate import evaluate
 from precedent.plans.resolve import resolve, response_rows, run_metrics
@@ -129,6 +129,13 @@ def retrieve_topk_cells(spark, sf_dir):
     return _top(retrieved(spark, sf_dir, broadcast_bytes=0))
 
 
+def retrieve_topk_tree(spark, sf_dir):
+    """From a stored index with two levels of cells, by visits of leaves."""
+    index = _vector_index(spark, sf_dir, two_levels=True, leaf_rows=32)
+    issues = vector_queries(spark, sf_dir)
+    return _top(retrieve(index, issues, GIVEN, 3, broadcast_bytes=0))
+
+
 def retrieve_ivf(spark, sf_dir):
     return _top(retrieved(spark, sf_dir, n_probe=dense.MAX_CELLS))
 
@@ -138,8 +145,17 @@ def retrieve_cosine(spark, sf_dir):
 
 
 def ivf_recall(spark, sf_dir):
-    exact = retrieved(spark, sf_dir)
-    return dense.recall_against(exact, retrieved(spark, sf_dir, n_probe=4))
+    """What probes fitted to a recall of 0.95 on a sample find for all queries, and whether a quarter of the cells was enough."""
+    queries = materialize(vector_queries(spark, sf_dir).select("query_id", "vector"))
+    tickets = vector_tickets(spark, sf_dir).select("ticket_id", "vector")
+    exact = dense.dense_top_k(tickets, queries, 3)
+    assigned, cells = probing.build_probing_cells(tickets)
+    fitted = probing.calibrate(assigned, cells, queries, 3, 0.95)
+    found = top_k_per_query(probing.probed_hits(assigned, queries, cells, 3, fitted), 3)
+    share = probing.probed_share(queries, cells, 3, fitted).head().probed_share
+    return dense.recall_against(exact, found).select(
+        "n_expected", (F.col("recall") >= 0.95).alias("recall_reached"), F.lit(share <= 0.25).alias("few_cells")
+    )
 
 
 def listing(spark, sf_dir):
@@ -399,9 +415,9 @@ def _chat_index(spark, sf_dir):
     )
 
 
-def _vector_index(spark, sf_dir):
+def _vector_index(spark, sf_dir, **plan):
     return build_index(
-        vector_tickets(spark, sf_dir), fresh_path(spark, "vector-index"), GIVEN, id_pattern=ANY_ID
+        vector_tickets(spark, sf_dir), fresh_path(spark, "vector-index"), GIVEN, id_pattern=ANY_ID, **plan
     )
 
 
@@ -651,6 +667,7 @@ def resolve_streamed(spark, sf_dir):
 QUERIES = {
     "retrieve_topk_dense": retrieve_topk_dense,
     "retrieve_topk_cells": retrieve_topk_cells,
+    "retrieve_topk_tree": retrieve_topk_tree,
     "retrieve_cosine": retrieve_cosine,
     "retrieve_ivf": retrieve_ivf,
     "ivf_recall": ivf_recall,
