@@ -4,6 +4,8 @@ Written from the rules, independently of the Spark code: every pair is scored by
 brute force, every check is done with plain string functions.
 """
 
+import re
+
 from precedent.functions.prompts import ABSTAIN_TEXT, NO_TICKETS_TEXT, SYSTEM_TEXT
 from precedent.schemas import HEADINGS
 
@@ -460,6 +462,10 @@ resolved AS (
     answer, evidence_sufficient, evidence_ids, sent_ids, attempts FROM final)
 """
 )
+# Every step is computed once: inlined, the two passes over the answer texts multiply.
+for _step in ("pairs", "tickets", "requests", "longest", "ranked", "tops", "gated", "turn1", "parts", "checked", "explained",
+              "one", "turn2", "parts2", "checked2", "explained2", "final", "resolved"):
+    RESOLVE = re.sub(rf"\b{_step} AS \(", f"{_step} AS MATERIALIZED (", RESOLVE)
 RESOLVED = RESOLVE + " SELECT * FROM resolved"
 
 ORACLE = {
