@@ -8,7 +8,7 @@ which rows are kept.
 import re
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from precedent.functions.grounding import SECTION_NAMES, answer_sections, violation
@@ -389,9 +389,8 @@ def csv_roundtrip(spark, sf_dir):
 
 
 def cases_json(spark, sf_dir):
-    """Cases written as JSON arrays, one per file, and read back."""
+    """Cases written as one JSON array, and read back in byte ranges."""
     path = fresh_path(spark, "cases-json")
-    n_files = max(1, table(spark, sf_dir, "benchmark").count() // 50)
     item = F.col("item_id")
     cases = table(spark, sf_dir, "benchmark").select(
         F.struct(
@@ -400,12 +399,15 @@ def cases_json(spark, sf_dir):
             F.col("text").alias("query"),
             F.when(item % 2 == 0, item.cast("string")).alias("expected_ticket_id"),
         ).alias("case"),
-        F.pmod(F.xxhash64("item_id"), F.lit(n_files)).alias("file"),
-    )
-    arrays = cases.groupBy("file").agg(
-        F.to_json(F.collect_list("case"), {"ignoreNullFields": "false"}).alias("value")
-    )
-    arrays.write.partitionBy("file").text(path)
+        item.alias("at"),
+    )
+    # A line per element, the brackets and commas around them: the file of one writer.
+    n = cases.count()
+    ordered = cases.orderBy("at").withColumn("place", F.row_number().over(Window.orderBy("at")))
+    begin = F.when(F.col("place") == 1, "[").otherwise("")
+    end = F.when(F.col("place") == n, "]").otherwise(",")
+    value = F.concat(begin, F.to_json("case", {"ignoreNullFields": "false"}), end)
+    ordered.coalesce(1).select(value.alias("value")).write.text(path)
     return read_cases_json(spark, path)
 
 
