@@ -5,8 +5,10 @@ Training counts every word of the labelled documents, and every n-gram of 4 to 1
 scored by its 4-grams, where none of them is known by its 3-grams, and so on. The document's
 scores are the sums over its words; ``score`` is the share of the best language after normalising.
 
-Counts are kept over all training documents; the model holds the most frequent
-``MAX_WORDS`` words and ``MAX_GRAMS`` n-grams, which bounds what is sent to the executors.
+The model is fitted on a bounded sample of the labelled rows: of each language, all rows where they hold at most
+``TRAINING_CHARACTERS`` characters, else those whose hash falls below the share that is expected to hold as many. Each language has a
+bound of its own, so a small one keeps all its rows however large the others are. Every word and n-gram of the
+sample is in the model, whose size is bounded by that of the sample.
 
 Edge cases: a text that is null or without a letter is ``und`` with score 0; so is every text if
 there is nothing to learn from; ties go to the first language in order of name.
@@ -23,18 +25,18 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from precedent.llm.common import fold_column, slices
+from precedent.llm.common import Tables, fold_column, slices
 from precedent.session import ship_package
 
 UNDETERMINED = "und"
-MAX_WORDS = 200_000
-MAX_GRAMS = 100_000
+#: Characters of the labelled sample per language.
+TRAINING_CHARACTERS = 3_000_000
 GRAM_SIZES = (4, 3, 2, 1)
 SMOOTHING = 0.5
 #: Distinct (language, word) counts held in a task before they are handed on.
-FLUSH = 300_000
+FLUSH = 100_000
 #: Characters of words whose n-grams are counted at a time.
-CHUNK_CHARS = 1_000_000
+CHUNK_CHARS = 500_000
 COUNTS = "kind int, lang string, item string, n long"
 
 
@@ -144,7 +146,7 @@ class LanguageModel:
         self.rows = {kind: {item: row for row, item in enumerate(table)} for kind, table in items.items()}
         self.logs = {}
         for kind, table in items.items():
-            counts = np.array(list(table.values()), np.float64).reshape(-1, len(langs))
+            counts = np.array(list(table.values()), np.float64).reshape(len(table), len(langs))
             self.logs[kind] = np.log((counts + SMOOTHING) / (totals[kind] + SMOOTHING * (len(table) + 1)))
 
     def word(self, word: str) -> np.ndarray:
@@ -191,31 +193,37 @@ class LanguageModel:
         return names, np.where(letters, share, 0.0).tolist()
 
 
-def train(labelled: DataFrame, max_words: int = MAX_WORDS, max_grams: int = MAX_GRAMS) -> LanguageModel:
-    """A model of (text, lang) rows; rows without lang are left out."""
-    counts = count_items(labelled.where("lang is not null")).persist()
+def training_sample(labelled: DataFrame, characters: int = TRAINING_CHARACTERS) -> DataFrame:
+    """The rows to learn from: per language all, or a share by hash that is expected to hold ``characters``."""
+    known = labelled.where("lang is not null")
+    # One row per language.
+    sizes = known.groupBy("lang").agg(F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("n")).collect()
+    shares = {r["lang"]: characters / r["n"] for r in sizes if r["n"] > characters}
+    if not shares:
+        return known
+    by_lang = F.create_map(*(F.lit(x) for pair in shares.items() for x in pair))
+    # Rows that repeat a text fall apart by their id.
+    key = [c for c in ("doc_id", "text") if c in labelled.columns]
+    draw = F.pmod(F.xxhash64(*key), F.lit(1 << 40)) / float(1 << 40)
+    return known.where(draw < F.coalesce(F.try_element_at(by_lang, F.col("lang")), F.lit(1.0)))
+
+
+def train(labelled: DataFrame, characters: int = TRAINING_CHARACTERS) -> LanguageModel:
+    """A model of (text, lang[, doc_id]) rows; rows without lang are left out."""
+    tables = Tables(labelled.sparkSession, "language")
+    counts = tables.store(count_items(training_sample(labelled, characters)), "counts")
     totals = counts.groupBy("kind", "lang").agg(F.sum("n").alias("n")).collect()
     langs = sorted({r["lang"] for r in totals})
+    place = {lang: i for i, lang in enumerate(langs)}
     sums = {kind: np.zeros(len(langs)) for kind in (0, *GRAM_SIZES)}
     for r in totals:
-        sums[r["kind"]][langs.index(r["lang"])] = r["n"]
-    items: dict[int, dict[str, list[int]]] = {}
-    place = {lang: i for i, lang in enumerate(langs)}
-    for is_word, most in ((True, max_words), (False, max_grams)):
-        own = counts.where("kind = 0" if is_word else "kind > 0")
-        rows = (
-            own.groupBy("kind", "item")
-            .agg(F.sum("n").alias("n"), F.collect_list(F.struct("lang", "n")).alias("by"))
-            .orderBy(F.desc("n"), "kind", "item")
-            .limit(most)
-            .select("kind", "item", "by")
-        )
-        for r in rows.toLocalIterator():
-            one = [0] * len(langs)
-            for x in r["by"]:
-                one[place[x["lang"]]] = x["n"]
-            items.setdefault(r["kind"], {})[r["item"]] = one
-    counts.unpersist()
+        sums[r["kind"]][place[r["lang"]]] = r["n"]
+    items: dict[int, dict[str, list[int]]] = {kind: {} for kind in (0, *GRAM_SIZES)}
+    # As many rows as the bounded sample has items.
+    for batch in counts.toArrow().to_batches():
+        for kind, lang, item, n in zip(*(batch.column(c).to_pylist() for c in ("kind", "lang", "item", "n"))):
+            items[kind].setdefault(item, [0] * len(langs))[place[lang]] = n
+    tables.drop("counts")
     return LanguageModel(langs, sums, items)
 
 

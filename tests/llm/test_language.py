@@ -1,3 +1,5 @@
+import math
+
 import numpy as np
 import pytest
 
@@ -56,3 +58,73 @@ def test_backoff_uses_the_longest_known_grams():
 def test_nothing_to_learn_from(docs):
     assert {r.lang_pred for r in language.with_language(docs, language.train(docs.limit(0))).collect()} == {"und"}
     assert language.language_rows(docs.limit(0)).count() == 0
+
+
+def brute_model(rows):
+    """Log frequencies per kind, item and language, straight from the definition."""
+    langs = sorted({lang for _, lang in rows})
+    counts = {kind: {} for kind in (0, *language.GRAM_SIZES)}
+    for text, lang in rows:
+        for piece in (text or "").split():
+            if word := language.normal_form(piece):
+                for kind in counts:
+                    for item in [word] if kind == 0 else language.grams(word, kind):
+                        counts[kind].setdefault(item, dict.fromkeys(langs, 0))[lang] += 1
+    logs = {}
+    for kind, table in counts.items():
+        total = {lang: sum(c[lang] for c in table.values()) for lang in langs}
+        for item, c in table.items():
+            logs[kind, item] = [math.log((c[lang] + 0.5) / (total[lang] + 0.5 * (len(table) + 1))) for lang in langs]
+    return langs, logs
+
+
+def brute_prediction(text, langs, logs):
+    sums, letters = [0.0] * len(langs), False
+    for piece in (text or "").split():
+        letters |= any(c.isalpha() for c in piece)
+        word = language.normal_form(piece)
+        found = [logs[0, word]] if (0, word) in logs else []
+        for size in language.GRAM_SIZES:
+            if not found and word:
+                found = [logs[size, g] for g in language.grams(word, size) if (size, g) in logs]
+        if found:
+            mean = [sum(x) / len(found) for x in zip(*found)]
+            sums = [s + m - sum(mean) / len(mean) for s, m in zip(sums, mean)]
+    if not letters:
+        return "und", 0.0
+    best = max(range(len(langs)), key=lambda i: (sums[i], -i))
+    return langs[best], 1 / sum(math.exp(max(s - sums[best], -50)) for s in sums)
+
+
+def random_docs(spark, n=160):
+    rng = np.random.default_rng(7)
+    vocabulary = {"aa": "alpha beta gamma delta été x", "bb": "alphabet betting gamut über y", "ça": "ξένος λόγος και alpha"}
+    rows = []
+    for i in range(n):
+        lang = ["aa", "bb", "ça"][i % 3]
+        words = list(rng.choice(vocabulary[lang].split(), rng.integers(0, 9)))
+        words += ["".join(rng.choice(list("abgdeλξü1-"), rng.integers(1, 7))) for _ in range(rng.integers(0, 4))]
+        rows.append((i, " ".join(words), lang if rng.random() < 0.9 else None, "x"))
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string, score string"), rows
+
+
+def test_predictions_and_scores_equal_brute_force(spark):
+    table, rows = random_docs(spark)
+    langs, logs = brute_model([(t, lang) for i, t, lang, _ in rows if lang is not None and fold(i) != 1])
+    found = {r.doc_id: r for r in language.language_rows(table).collect()}
+    assert len(found) == len(rows)
+    for i, text, _, _ in rows:
+        lang, score = brute_prediction(text, langs, logs)
+        assert found[i].score == pytest.approx(score, abs=1e-9)
+        assert found[i].lang_pred == lang or score < 0.5 + 1e-9
+
+
+def test_each_language_has_a_bound_of_its_own(spark):
+    rows = [(i, f"wort{i} " * 10, "de") for i in range(2000)] + [(i, "ξένος λόγος", "el") for i in range(9000, 9005)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    sample = language.training_sample(table, 20_000)
+    sizes = {r.lang: r.n for r in sample.groupBy("lang").agg({"text": "count"}).withColumnRenamed("count(text)", "n").collect()}
+    assert sizes["el"] == 5 and 120 < sizes["de"] < 450
+    assert sorted(sample.collect()) == sorted(language.training_sample(table.repartition(7), 20_000).collect())
+    model = language.train(table, 20_000)
+    assert model.langs == ["de", "el"] and model.word("λόγος").argmax() == 1
