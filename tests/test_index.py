@@ -215,3 +215,50 @@ def test_stored_cells_of_every_kind_answer_alike(spark, tmp_path):
         retrieve(index["two"], asked, given, 4, recall_target=0.9)
     with pytest.raises(InputError):
         build_index(rows, str(tmp_path / "both"), given, two_levels=True, border_share=0.1)
+
+
+def test_of_two_builds_each_has_a_number_of_its_own(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    path = str(tmp_path / "index")
+    with ThreadPoolExecutor(2) as pool:
+        built = list(pool.map(lambda _: build_index(tickets(spark), path, tf_idf(), reset=True), range(2)))
+    rows = spark.read.json(f"{path}/manifest").select("version", "folder").collect()
+    assert sorted(r.version for r in rows) == [1, 2] and len({r.folder for r in rows}) == 2
+    assert {b.version for b in built} <= {1, 2}
+    current = open_index(spark, path)
+    assert current.version == 2 and current.table("tickets").count() == 5
+
+
+def test_a_number_is_given_once(spark, tmp_path):
+    from precedent.sources import index_store
+
+    path = str(tmp_path / "index")
+    row = {"version": 1, "folder": "version-a", "kind": "dense", "vectorizer_id": "v", "n_tickets": 3, "dim": 1,
+           "n_blocks": 0, "first_ids": [], "n_leaves": None}
+    assert index_store._take_number(spark, path, row)
+    assert not index_store._take_number(spark, path, row | {"folder": "version-b"})
+    # The loser sees the winner's index, or takes the next number to replace it.
+    assert index_store._commit(spark, path, row | {"folder": "version-b"}, reset=False).folder == "version-a"
+    replaced = index_store._commit(spark, path, row | {"folder": "version-c"}, reset=True)
+    assert (replaced.version, replaced.folder) == (2, "version-c")
+    # A builder that died after taking a number leaves an empty file, which nobody takes for a version.
+    (tmp_path / "index" / "manifest" / f"{3:012d}.json").touch()
+    assert index_store._current(spark, path).folder == "version-c"
+    assert index_store._commit(spark, path, row | {"folder": "version-d"}, reset=True).version == 4
+
+
+@pytest.mark.parametrize("table", ["tickets", "forward", "vocabulary"])
+@pytest.mark.parametrize("cut", [True, False])
+def test_a_lost_or_cut_file_is_noticed(spark, tmp_path, table, cut):
+    path = tmp_path / "index"
+    index = build_index(tickets(spark), str(path), tf_idf())
+    assert status(spark, str(path)) == ("ok", None, 5)
+    file = next((path / index.folder / table).glob("*.parquet"))
+    if cut:
+        file.write_bytes(file.read_bytes()[:-9])
+    else:
+        file.unlink()
+    assert status(spark, str(path)) == ("unavailable", "retrieval_unavailable", 0)
+    with pytest.raises(RetrievalUnavailable):
+        open_index(spark, str(path))
