@@ -543,6 +543,14 @@ ORACLE = {
     "resolve_stream": RESOLVED,
     "response_rows": RESOLVE
     + "SELECT query_id, status, answer, evidence_sufficient, evidence_ids FROM resolved",
+    "stream_metrics": RESOLVE
+    + """, again AS (SELECT count(*) FILTER (i % 7 = 0) + 1 AS n FROM requests)
+       SELECT CAST(count(*) + any_value(again.n) AS BIGINT) AS n_rows, count(*) FILTER (status = 'answered') AS n_answered,
+         count(*) FILTER (status = 'repaired') AS n_repaired, count(*) FILTER (status = 'abstained') AS n_abstained,
+         CAST(count(*) FILTER (status IN ('invalid_issue', 'invalid_top_k')) + any_value(again.n) AS BIGINT) AS n_invalid_input,
+         count(*) FILTER (status IN ('invalid_model_response', 'generator_unavailable')) AS n_failed,
+         CAST(sum(attempts) AS BIGINT) AS n_generator_calls
+       FROM resolved, again""",
     "run_metrics": RESOLVE
     + """SELECT status, count(*) AS n_rows, CAST(sum(attempts) AS BIGINT) AS n_generator_calls
        FROM resolved GROUP BY status""",
