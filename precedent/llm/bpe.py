@@ -44,6 +44,8 @@ CUT = re.compile(r" (?=\S)")
 BLOCK = 1024
 #: Pieces remembered per worker (about 80 MB); the memory is emptied when full.
 CACHE_PIECES = 400_000
+#: Text that is encoded at a time where the ids are returned as rows.
+ENCODE_BYTES = 2_000_000
 #: Longer pieces are not remembered.
 CACHE_CHARS = 64
 _NEVER = 1 << 60
@@ -318,7 +320,9 @@ def encode_documents(docs: DataFrame, tokenizer: str, text: str = "text") -> Dat
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _, encoder = _worker(tokenizer)
-        for batch in slices(batches, text):
+        # A worker that ran other stages may still hold their freed buffers.
+        pa.default_memory_pool().release_unused()
+        for batch in slices(batches, text, ENCODE_BYTES):
             ids = encoder.encode(batch.column(text))
             ends = np.cumsum([0, *(len(b) // 4 for b in ids)]).astype(np.int32)
             flat = pa.array(np.frombuffer(b"".join(ids), "<i4"))

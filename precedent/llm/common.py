@@ -48,8 +48,8 @@ def spare_names(df: DataFrame, names: list[str]) -> list[str]:
     return found
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
-    """The same rows in batches whose ``column`` holds about ``SLICE_BYTES`` at most.
+def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches whose ``column`` holds about ``most`` bytes at most.
 
     A single longer text is a batch of its own.
     """
@@ -57,7 +57,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.Record
         sizes = [len(v) if v is not None else 0 for v in _views(batch.column(column))]
         begin, total = 0, 0
         for row, size in enumerate(sizes):
-            if total and total + size > SLICE_BYTES:
+            if total and total + size > most:
                 yield batch.slice(begin, row - begin)
                 begin, total = row, 0
             total += size

@@ -69,17 +69,44 @@ CHROME_NAMES = re.compile(
     re.I,
 )
 CHROME_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "menu"}
-TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|textarea|title|noscript|template|svg|iframe)\b[^>]*>.*?(?:</\1\s*>|\Z)"
-    r"|<[/!?a-zA-Z](?:[^>\"']|\"[^\"]*\"|'[^']*')*>|[^<]+|<",
+#: Comments, and elements whose content is no text of the page; an unclosed one reaches to the end.
+RAW = re.compile(
+    r"<!--.*?(?:-->|\Z)|<(script|style|textarea|title|noscript|template|svg|iframe)\b[^>]*+>.*?(?:</\1\s*>|\Z)",
     re.I | re.S,
 )
+TAG = re.compile(r"<[/!?a-zA-Z](?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>")
+TAG_BEGIN = re.compile(r"<[/!?a-zA-Z]")
 NAME = re.compile(r"</?([a-zA-Z][a-zA-Z0-9-]*)")
 NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 ROLE = re.compile(r"\brole\s*=\s*[\"']?([a-z]+)", re.I)
 SPACE = re.compile(r"\s+")
 
 
+def tokens(page: str) -> Iterator[tuple[str, bool]]:
+    """(piece, whether it is a tag) of a page without its raw elements, in time linear in the page.
+
+    A tag with a quote that nothing closes ends at the next ``>``; after the last ``>`` there is text only.
+    """
+    at, last = 0, page.rfind(">")
+    while at < len(page):
+        begin = page.find("<", at)
+        if begin > at:
+            yield page[at:begin], False
+        comment = page.startswith("<!--", begin)
+        if begin < 0 or (begin > last and not comment):
+            yield page[at if begin < 0 else begin :], False
+            return
+        if raw := RAW.match(page, begin):
+            at = raw.end()
+        elif TAG_BEGIN.match(page, begin):
+            tag = TAG.match(page, begin)
+            at = tag.end() if tag else page.index(">", begin) + 1
+            yield page[begin:at], True
+        else:
+            at = begin + 1
+            yield "<", False
+
+
 def blocks_of(page: str) -> list[tuple[str, bool]]:
     """(text, inside an article) of every block that no dropped element encloses.
 
@@ -97,12 +124,11 @@ def blocks_of(page: str) -> list[tuple[str, bool]]:
             named = tuple(s[3] for s in stack if s[3] >= 0)
             found.append((text, any(s[2] for s in stack), named, any(s[0] == "p" for s in stack)))
 
-    for m in TOKEN.finditer(page):
-        piece = m[0]
-        if piece[0] != "<" or len(piece) == 1:
+    for piece, is_tag in tokens(page):
+        if not is_tag:
             parts.append(piece)
             continue
-        if m[1] or piece[1] in "!?":
+        if piece[1] in "!?":
             continue
         tag = NAME.match(piece)
         if not tag:

@@ -94,3 +94,17 @@ def test_copies_keep_their_text_and_only_runs_are_cut(spark):
     expected = dict(enumerate(own)) | {10: own[0], 11: f"{own[1]} updated"}
     assert _texts(spark, rows) == expected
     assert _texts(spark, rows, most=3) == expected
+
+
+def test_broken_tags_take_linear_time():
+    import time
+
+    for piece in ("<a ' ", '<a " ', "<script ", "<!", "< ", "<a <", "<p '>x", "<b \"'> "):
+        start = time.perf_counter()
+        he.blocks_of("<p>before</p>" + piece * 100_000)
+        assert time.perf_counter() - start < 8, piece
+
+
+def test_tags_with_open_quotes_end_at_the_next_bracket():
+    blocks = [text for text, *_ in he.blocks_of("<p>one</p><p class='x>two</p><p>three <b>bold</b></p> 1 < 2 <")]
+    assert "two" in " ".join(blocks) and "three bold" in " ".join(blocks) and blocks[-1].endswith("1 < 2 <")
