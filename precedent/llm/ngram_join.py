@@ -483,16 +483,18 @@ def rare_first_pairs(sets: DataFrame, labels: DataFrame, tables: Tables) -> Data
     """(a, b): nodes of ``sets`` in different components with a token in common in their plain prefixes.
 
     ``sets`` are the whole sets of the unsettled nodes, few enough to count their tokens; in this order
-    the prefixes begin with the tokens that the fewest of them have.
+    the prefixes begin with the tokens that the fewest of them have. Beyond the first token that two sets
+    share, the overlap is what remains of the shorter rest, so a pair is made only where that still suffices.
     """
     tokens = _labelled(sets, labels, "node", "label").select("node", "n", "label", F.explode("head").alias("token"))
     counts = tokens.groupBy("token").agg(F.count("*").alias("df"))
     order = Window.partitionBy("node").orderBy("df", "token")
     ranked = tokens.join(counts, "token").withColumn("at", F.row_number().over(order))
     rows = tables.store(ranked.where(F.col("at") <= F.col("n") - _beyond("n")).where("df > 1"), "rare")
-    one, two = (rows.select("token", *(F.col(c).alias(f"{c}_{x}") for c in ("node", "n", "label"))) for x in "ab")
+    one, two = (rows.select("token", *(F.col(c).alias(f"{c}_{x}") for c in ("node", "n", "label", "at"))) for x in "ab")
     pairs = one.join(two, "token").where(
         f"label_a <> label_b and node_a < node_b and least(n_a, n_b) * 100 >= greatest(n_a, n_b) * {PERCENT}"
+        f" and (1 + least(n_a - at_a, n_b - at_b)) * {100 + PERCENT} >= {PERCENT} * (n_a + n_b)"
     )
     return pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
 
