@@ -77,10 +77,14 @@ def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str]:
 class Tables:
     """Intermediate tables of one run, in a folder of their own under the shared folder.
 
-    Later queries read the stored table, so the shuffle files of a write are deleted as it ends.
+    Later queries read the stored table, so the shuffle files of a write are deleted as it ends. Rows go to Python in
+    batches of 8 MB, since rows that hold whole sets would fill some 64 MB a task on both sides.
     """
 
-    FREE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    SETTINGS = {
+        "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+        "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
+    }
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.folder = spark, fresh_path(spark, name)
@@ -91,12 +95,14 @@ class Tables:
         """``df``, written once and read again. ``name`` stands for the newest table of that name."""
         self.made += 1
         path = f"{self.folder}/{name}-{self.made}"
-        before = self.spark.conf.get(self.FREE, "false")
-        self.spark.conf.set(self.FREE, "true")
+        before = {key: self.spark.conf.get(key) for key in self.SETTINGS}
         try:
+            for key, value in self.SETTINGS.items():
+                self.spark.conf.set(key, value)
             df.write.parquet(path)
         finally:
-            self.spark.conf.set(self.FREE, before)
+            for key, value in before.items():
+                self.spark.conf.set(key, value)
         self.paths[name] = path
         return self.spark.read.parquet(path)
 

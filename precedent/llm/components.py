@@ -22,8 +22,8 @@ def connected_components(links: DataFrame) -> DataFrame:
         links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(),
         "edges",
     )
-    before = None
-    for _ in range(MAX_ROUNDS):
+    before, name = None, "edges"
+    for turn in range(MAX_ROUNDS):
         # Large star: everything above a node hangs on its least neighbour.
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
@@ -32,7 +32,9 @@ def connected_components(links: DataFrame) -> DataFrame:
         # Small star: a node and all below it hang on the least of these.
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = tables.store(small.union(least.select("u", F.col("m").alias("v"))).distinct(), "edges")
+        edges = tables.store(small.union(least.select("u", F.col("m").alias("v"))).distinct(), f"edges{turn}")
+        tables.drop(name)
+        name = f"edges{turn}"
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before:
             roots = edges.select(F.col("v").alias("node")).distinct()

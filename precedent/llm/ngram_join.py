@@ -50,6 +50,8 @@ SPARE = 32
 #: A shingle is known to be costly before the first round if this share of a task's nodes, and
 #: this many, have it. At most 1/share times the mean prefix length of shingles can be.
 HOT_SHARE, HOT_LEAST = 0.01, 24
+#: Texts are cut into words in slices of this many bytes, which take some 15 times as much for a moment.
+SLICE_BYTES = 2_000_000
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
 
@@ -140,7 +142,7 @@ def shingle_rows(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler()
         seen: set[int] = set()  # a task passes the head of each node on once
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE_BYTES):
             sets = shingler.sets(batch.column("text"))
             sizes = [len(s) for s in sets]
             nodes = [node_of(s) if len(s) else None for s in sets]
@@ -390,15 +392,20 @@ def unsettled(met: DataFrame, facts: DataFrame) -> DataFrame:
     ).select("node", (F.col("rest") > 0).alias("partial"))
 
 
-def whole_sets(wanted: DataFrame, nodes: DataFrame, docs: DataFrame, tables: Tables, name: str) -> DataFrame:
+def whole_sets(
+    wanted: DataFrame, nodes: DataFrame, docs: DataFrame, tables: Tables, name: str, hot: np.ndarray | None = None
+) -> DataFrame:
     """(node, n, head) with the whole sets of the ``wanted`` nodes, stored under ``name``.
 
+    With ``hot``, the sets are cut to the prefix that is taken of them, and what is known of a node stays with it.
+
     The sets are made again from one text of each node: keeping them all would take more room
     than the texts. A text that is there more than once under its id is told apart by a count
     over the stored names, so that the sets themselves are not shuffled.
     """
     spark = docs.sparkSession
-    own = nodes.select("node", F.col("doc_id").alias("want")).join(wanted.select("node").distinct(), "node")
+    known = [c for c in _known_columns(wanted) if c not in ("n", "head")] if hot is not None else ["node"]
+    own = nodes.select("node", F.col("doc_id").alias("want")).join(wanted.select(*known).distinct(), "node")
     texts = docs.selectExpr("cast(doc_id as long) as doc_id", "text").join(
         own, F.col("doc_id").eqNullSafe(F.col("want"))
     )
@@ -406,20 +413,24 @@ def whole_sets(wanted: DataFrame, nodes: DataFrame, docs: DataFrame, tables: Tab
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler()
         made: set[int] = set()
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE_BYTES):
             node = batch.column("node").to_pylist()
             # Another text of the same id has another name.
             rows = [
-                (k, s)
-                for k, s in zip(node, shingler.sets(batch.column("text")))
+                (at, s)
+                for at, (k, s) in enumerate(zip(node, shingler.sets(batch.column("text"))))
                 if k not in made and len(s) and node_of(s) == k and not made.add(k)
             ]
-            ids = pa.array([k for k, _ in rows], pa.int64())
+            heads = [s for _, s in rows]
+            if hot is not None:
+                heads = [s[: _prefix(batch, at, len(s), s, _member(s.view(np.int64), hot))[0]] for at, s in rows]
+            facts = batch.select(known).take(pa.array([at for at, _ in rows], pa.int64()))
             sizes = pa.array([len(s) for _, s in rows], pa.int64())
-            yield pa.RecordBatch.from_arrays([ids, sizes, _lists([s for _, s in rows])], names=["node", "n", "head"])
+            yield pa.RecordBatch.from_arrays([*facts.columns, sizes, _lists(heads)], names=[*known, "n", "head"])
 
     ship_package(spark)
-    sets = texts.select("node", "text").mapInArrow(make, "node long, n long, head array<long>")
+    schema = ", ".join(f"{c} long" for c in [*known, "n"]) + ", head array<long>"
+    sets = texts.select(*known, "text").mapInArrow(make, schema)
     found = tables.store(sets, name)
     if found.groupBy("node").count().where("count > 1").isEmpty():
         return found
@@ -545,7 +556,7 @@ def link_components(docs: DataFrame) -> DataFrame:
     facts, tokens = prefix_facts(nodes, hot), prefix_tokens(nodes, hot, whole=False)
     short = facts.where("slack <= 0").select("node")
     if len(hot):
-        sets = whole_sets(short, nodes, docs, tables, "short")
+        sets = whole_sets(short, nodes, docs, tables, "short", hot)
         facts = facts.where("slack > 0").union(prefix_facts(sets, hot))
         tokens = tokens.union(prefix_tokens(sets, hot, whole=True))
     facts = tables.store(facts, "facts")
@@ -564,7 +575,7 @@ def link_components(docs: DataFrame) -> DataFrame:
         "node", (F.col("own") + F.col("hot")).alias("seen"), (F.col("n") - F.col("rest")).alias("out_of")
     )
     seen = tables.store(seen, "seen")
-    again = whole_sets(seen, nodes, docs, tables, "again").join(seen, "node")
+    again = whole_sets(seen, nodes, docs, tables, "again", hot)
     grown = tables.store(prefix_facts(again, hot), "grown")
     met_again = tables.store(meetings(prefix_tokens(again, hot, whole=True)), "met")
     tables.drop("again")
