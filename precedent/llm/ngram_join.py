@@ -228,18 +228,18 @@ def _emit(rows: list[tuple[int, np.ndarray]], *names: str) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(values), pa.array(owner)], names=list(names))
 
 
-def _prefix(batch: pa.RecordBatch, at: int, n: int, head: np.ndarray, is_hot: np.ndarray) -> tuple[int, int]:
+def _prefix(batch: pa.RecordBatch, at: int, n: int, head: np.ndarray, is_hot: np.ndarray | None) -> tuple[int, int]:
     """(length, m) of one node, from what is known of its costly shingles.
 
-    ``seen`` (costly shingles, out of how many) is there in the second join.
+    ``seen`` (costly shingles, out of how many) is there in the second join, which needs no ``is_hot``.
     """
     if "seen" not in batch.schema.names:
         return grown_prefix(head, n, is_hot)
     base = shortest(n)
     share = batch.column("seen")[at].as_py() / max(1, batch.column("out_of")[at].as_py())
-    lengths = np.arange(base, len(head) + 1)
-    enough = np.nonzero(lengths - base + 1 > ALLOWANCE * share * lengths + FEW)[0]
-    length = int(lengths[enough[0]]) if len(enough) else len(head)
+    # The least length for which length - base + 1 exceeds ALLOWANCE * share * length + FEW.
+    left = 1 - ALLOWANCE * share
+    length = len(head) if left <= 0 else min(len(head), max(base, int((FEW + base - 1) / left) + 1))
     return length, length - base + 1
 
 
@@ -423,7 +423,8 @@ def whole_sets(
             ]
             heads = [s for _, s in rows]
             if hot is not None:
-                heads = [s[: _prefix(batch, at, len(s), s, _member(s.view(np.int64), hot))[0]] for at, s in rows]
+                flags = [None if "seen" in known else _member(s.view(np.int64), hot) for s in heads]
+                heads = [s[: _prefix(batch, at, len(s), s, f)[0]] for (at, s), f in zip(rows, flags)]
             facts = batch.select(known).take(pa.array([at for at, _ in rows], pa.int64()))
             sizes = pa.array([len(s) for _, s in rows], pa.int64())
             yield pa.RecordBatch.from_arrays([*facts.columns, sizes, _lists(heads)], names=[*known, "n", "head"])
