@@ -91,7 +91,7 @@ class Tables:
         self.paths: dict[str, str] = {}
         self.made = 0
 
-    def store(self, df: DataFrame, name: str) -> DataFrame:
+    def store(self, df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
         """``df``, written once and read again. ``name`` stands for the newest table of that name."""
         self.made += 1
         path = f"{self.folder}/{name}-{self.made}"
@@ -99,7 +99,7 @@ class Tables:
         try:
             for key, value in self.SETTINGS.items():
                 self.spark.conf.set(key, value)
-            df.write.parquet(path)
+            df.write.option("compression", codec).parquet(path)
         finally:
             for key, value in before.items():
                 self.spark.conf.set(key, value)

@@ -11,8 +11,8 @@ are in a run that nearly all pages of the host carry. They are cut from a long b
 The remaining text of a page differs if fewer than ``COVERED`` of its words, those that nearly all pages carry aside, are in
 repeated runs: a near copy is no evidence against the text it shares, and pages of equal text count once.
 
-The pages are read four times: for the least 4-word hash inside each run (a repeated run has a repeated one, and there are fewer of them), for
-the runs whose least hash repeats, for the pages that are evidence, and for the text. Each count is one aggregate of
+All pages are read twice: for the least 4-word hash inside each run (a repeated run has a repeated one, and there are fewer of them), and for
+the runs whose least hash repeats. Pages with a repeated run are read twice more: for the pages that are evidence, and for the text. Each count is one aggregate of
 partial sums. The most frequent ``BROADCAST_RUNS`` results are broadcast, the others go back to their pages by an equi-join.
 
 Edge cases: null and empty pages have no text; pages without a host form one host; pages of a host of
@@ -379,7 +379,7 @@ def main_texts(pages: DataFrame, most: int = BROADCAST_RUNS) -> DataFrame:
             columns += [pa.array(names, pa.int64()), pa.array(texts, pa.string()), pa.array(article, pa.bool_())]
             yield pa.RecordBatch.from_arrays(columns, names=["rid", "page_id", "url", "host", "page", "text", "article"])
 
-    parsed = tables.store(rows.mapInArrow(parse, STORED), "parsed")
+    parsed = tables.store(rows.mapInArrow(parse, STORED), "parsed", "zstd")
     distinct = tables.store(
         parsed.where("text != ''").groupBy("host", "page").agg(F.min("rid").alias("lead"), F.count("*").alias("copies")), "distinct"
     )
@@ -396,7 +396,7 @@ def main_texts(pages: DataFrame, most: int = BROADCAST_RUNS) -> DataFrame:
         )
     )
     if not all(few):
-        every = tables.store(every, "every")
+        every = tables.store(every, "every", "zstd")
         tables.drop("parsed")
     whole = Pages(every, most)
 
@@ -407,10 +407,25 @@ def main_texts(pages: DataFrame, most: int = BROADCAST_RUNS) -> DataFrame:
     found = tables.store(whole.sums(anchors, every.where("site > 1")).where("n > 1").select("key", "n", zero), "anchors")
     candidates, anchor_counts = whole.joined(found, "anchor")
 
-    def repeated(runs: Runs, batch: pa.RecordBatch) -> np.ndarray:
-        return runs.key[once_a_page(runs, runs.key, anchor_counts(runs, batch)[0] > 1)]
-
-    counts = tables.store(whole.sums(repeated, candidates).where("n > 1").select("key", "n", zero), "runs")
+    def repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """(rid, first, key) of the pages' runs whose least hash repeats."""
+        hashes = WordHashes()
+        for batch in slices(batches, "text"):
+            runs = runs_of(batch.column("text").to_pylist(), batch.column("host").to_numpy(), hashes)
+            at = once_a_page(runs, runs.key, anchor_counts(runs, batch)[0] > 1)
+            page = pa.array(runs.page[runs.at[at]])
+            columns = [batch.column("rid").take(page), batch.column("first").take(page), pa.array(runs.key[at])]
+            yield pa.RecordBatch.from_arrays(columns, names=["rid", "first", "key"])
+
+    hits = tables.store(candidates.mapInArrow(repeated, "rid long, first boolean, key long"), "hits")
+    counts = hits.where("first").groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    counts = tables.store(counts.select("key", "n", zero), "runs")
+    # Only pages with a repeated run are looked at again.
+    touched = tables.store(hits.join(counts, "key", "left_semi").select("rid").distinct().withColumn("touched", F.lit(True)), "touched")
+    tables.drop("hits")
+    marked = every.join(F.broadcast(touched) if touched.limit(most + 1).count() <= most else touched, "rid", "left")
+    untouched = marked.where("touched is null").select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+    whole = Pages(marked.where("touched").drop("touched"), most)
     judged, run_counts = whole.joined(counts, "key")
 
     def evidence(runs: Runs, batch: pa.RecordBatch) -> np.ndarray:
@@ -447,4 +462,4 @@ def main_texts(pages: DataFrame, most: int = BROADCAST_RUNS) -> DataFrame:
             columns = [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, names=["page_id", "url", "text", "n_chars"])
 
-    return last.mapInArrow(finish, TEXTS)
+    return last.mapInArrow(finish, TEXTS).union(untouched)
