@@ -29,6 +29,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -79,7 +80,6 @@ TAG_BEGIN = re.compile(r"<[/!?a-zA-Z]")
 NAME = re.compile(r"</?([a-zA-Z][a-zA-Z0-9-]*)")
 NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 ROLE = re.compile(r"\brole\s*=\s*[\"']?([a-z]+)", re.I)
-SPACE = re.compile(r"\s+")
 
 
 def tokens(page: str) -> Iterator[tuple[str, bool]]:
@@ -118,7 +118,7 @@ def blocks_of(page: str) -> list[tuple[str, bool]]:
     parts: list[str] = []
 
     def flush() -> None:
-        text = SPACE.sub(" ", entities.unescape("".join(parts))).strip()
+        text = " ".join(entities.unescape("".join(parts)).split())
         parts.clear()
         if text and not any(s[1] for s in stack):
             named = tuple(s[3] for s in stack if s[3] >= 0)
@@ -199,9 +199,15 @@ class WordHashes(dict):
     def __missing__(self, word: str) -> int:
         if len(self) >= self.MOST:
             self.clear()
-        found = self[word] = int.from_bytes(hashlib.blake2b(word.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
+        found = self[word] = xxhash.xxh3_64_intdigest(word)
         return found
 
+    def of(self, words: list[str]) -> np.ndarray:
+        """The hash of each word, looked up once for each distinct one."""
+        encoded = pa.array(words, pa.string()).dictionary_encode()
+        distinct = encoded.dictionary.to_pylist()
+        return np.fromiter(map(self.__getitem__, distinct), np.uint64, len(distinct))[encoded.indices.to_numpy()]
+
 
 def mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     x = a * np.uint64(0x9E3779B97F4A7C15) + b
@@ -233,8 +239,7 @@ def runs_of(texts: list[str], hosts: np.ndarray, hashes: WordHashes) -> Runs:
     n = len(words)
     left = np.repeat(np.cumsum(sizes), sizes) - np.arange(n)
     size = np.repeat(sizes, sizes)
-    rank = np.fromiter(map(hashes.__getitem__, words), np.uint64, n)
-    rank = mixed(rank, hosts.astype(np.int64).view(np.uint64)[page])
+    rank = mixed(hashes.of(words), hosts.astype(np.int64).view(np.uint64)[page])
     ranks = {1: rank}
     for step in (1, 2, 4):
         after = np.zeros(n, np.uint64)
