@@ -1,9 +1,11 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from precedent.errors import InputError
 from precedent.operators import dense
+from precedent.operators.blocks import BestHits
 
 DIM = 6
 
@@ -166,3 +168,38 @@ def test_pair_score_on_the_jvm(spark):
         ).alias("s")
     )
     assert row.head().s == pytest.approx(np.exp(-2.0))
+
+
+def test_a_query_that_reaches_every_cell_is_written_once_per_pack(spark):
+    """What the second pass moves does not grow with the cells where no bound excludes one."""
+    rng = np.random.default_rng(7)
+    tickets = [(f"T{i:03d}", v) for i, v in enumerate(rng.normal(size=(200, 40)))]
+    queries = table(spark, "query_id", [(f"Q{i}", v) for i, v in enumerate(rng.normal(size=(20, 40)))])
+    assigned, cells = dense.build_cells(table(spark, "ticket_id", tickets), 25)
+    packs = dense.pack_cells(cells.n, 100)
+    assert packs.max() + 1 <= 4 and np.bincount(packs, weights=cells.n).sum() == 200
+    asked = queries.withColumn("floor", F.lit(None).cast("double"))
+    visits = dense._pack_visits(asked, cells, packs, lambda distances, held, floor: np.broadcast_to(held.n > 0, distances.shape))
+    rows = visits.toArrow()
+    assert rows.num_rows == 20 * (packs.max() + 1)
+    for p in range(packs.max() + 1):
+        bits = dense._bit_matrix(rows.filter(rows["pack"].to_numpy() == p)["cells"], int((packs == p).sum()))
+        assert (bits == (cells.n[packs == p] > 0)).all()
+
+
+@pytest.mark.parametrize("metric", [dense.EXP_NEG_SQ_L2, dense.COSINE])
+def test_differences_below_single_precision_are_ranked(metric):
+    """Many tickets closer together than single precision tells apart, in an order that is not theirs, and one without a number."""
+    rng = np.random.default_rng(8)
+    query = rng.normal(size=DIM)
+    tickets = [(f"T{i:04d}", query + 2e-4 * np.sqrt(i) * np.eye(DIM)[i % DIM]) for i in rng.permutation(3000)]
+    def arrow(key, rows):
+        return pa.table({key: [i for i, _ in rows], "vector": [list(map(float, v)) for _, v in rows]})
+    asked = [("Q", query), ("R", -query)]
+    best = BestHits(arrow("query_id", asked), 5, dense.dense_candidates(metric)(arrow("query_id", asked)))
+    for i in range(0, 3000, 700):
+        best.add(arrow("ticket_id", tickets[i : i + 700] + [("none", np.full(DIM, np.nan))] * 9))
+    found = {}
+    for r in best.table().sort_by([("query_id", "ascending")]).to_pylist():
+        found.setdefault(r["query_id"], []).append((r["ticket_id"], r["similarity_score"]))
+    assert_same(found, brute_force(tickets, asked, 5, metric))
