@@ -120,3 +120,27 @@ def test_salted_join_is_a_join(spark, monkeypatch, how):
     plain = rows.join(table, "key", how).select("id", "key", "value")
     salted = salted_join(rows, table, "key", "id", how).select("id", "key", "value")
     assert sorted(map(str, salted.collect())) == sorted(map(str, plain.collect()))
+
+
+def test_tasks_that_count_terms_follow_the_bytes_of_text(spark, monkeypatch):
+    """What is shuffled is small beside the counts made of it, so its size does not tell."""
+    rows = spark.range(40).select(F.col("id").cast("string").alias("key"), F.repeat(F.lit("word "), 100).alias("text"))
+    monkeypatch.setattr(lexical, "TASK_TEXT_BYTES", 1000)
+    counts = lexical.term_counts(rows, "key", "text")
+    assert counts.rdd.getNumPartitions() == -(-40 * (500 + 32) // 1000)
+    assert sorted((r.key, r.term, r.tf) for r in counts.collect()) == sorted((str(i), "word", 100) for i in range(40))
+
+
+def test_the_search_runs_once_where_lists_are_filled(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    ranked = spark.createDataFrame([("Q1", 1, "D2", 0.5)], "query_id string, rank int, ticket_id string, similarity_score double")
+    ids = spark.createDataFrame([("Q1",), ("Q2",)], "query_id string")
+    found = collected(lexical.fill_to_k(ranked.mapInArrow(count, ranked.schema), ids, ["D0", "D2"], 2))
+    assert found == {"Q1": [("D2", 0.5), ("D0", 0.0)], "Q2": [("D0", 0.0), ("D2", 0.0)]}
+    assert read.value == 1
