@@ -203,3 +203,23 @@ def test_differences_below_single_precision_are_ranked(metric):
     for r in best.table().sort_by([("query_id", "ascending")]).to_pylist():
         found.setdefault(r["query_id"], []).append((r["ticket_id"], r["similarity_score"]))
     assert_same(found, brute_force(tickets, asked, 5, metric))
+
+
+@pytest.mark.parametrize("wanted", [None, np.arange(0, 2500, 3)])
+def test_entries_come_in_few_large_pieces(wanted):
+    """However many pieces the score matrix is cut into, what reaches the floors is scored together, and nothing is lost."""
+    rng = np.random.default_rng(11)
+    queries, tickets = rng.normal(size=(2500, 16)), rng.normal(size=(5000, 16))
+
+    def arrow(key, vectors):
+        return pa.table({key: [str(i) for i in range(len(vectors))], "vector": vectors.tolist()})
+
+    side = dense.dense_candidates(dense.COSINE)(arrow("query_id", queries))
+    floor = np.full(2500, 0.8)
+    options = {} if wanted is None else {"wanted": wanted}
+    pieces = list(side.find(side.against(arrow("ticket_id", tickets)), slice(0, 2500), floor, 3, **options))
+    unit = [v / np.linalg.norm(v, axis=1, keepdims=True) for v in (queries, tickets)]
+    asked = np.arange(2500) if wanted is None else wanted
+    row, column = np.nonzero(np.round(unit[0][asked] @ unit[1].T, 9) >= 0.8)
+    assert {(q, t) for p in pieces for q, t in zip(p[0].tolist(), p[1].tolist())} == set(zip(asked[row].tolist(), column.tolist()))
+    assert len(pieces) == 1 and 100 < sum(len(p[0]) for p in pieces) < side.EXACT
