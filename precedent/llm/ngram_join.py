@@ -29,7 +29,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
@@ -638,8 +637,10 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     )
 
 
-@F.pandas_udf(LongType())
-def node_column(text: pd.Series) -> pd.Series:
-    """The node of each text, null if it has no words."""
-    sets = Shingler().sets(pa.array(text, pa.string()))
-    return pd.Series([node_of(s) if len(s) else None for s in sets], dtype="Int64")
+@F.arrow_udf(LongType())
+def node_column(text: pa.Array) -> pa.Array:
+    """The node of each text, null if it has no words. Batches are cut, as a slice takes many times its bytes for a moment."""
+    shingler, nodes = Shingler(), []
+    for part in slices([pa.RecordBatch.from_arrays([text], names=["text"])], "text", SLICE_BYTES):
+        nodes += [node_of(s) if len(s) else None for s in shingler.sets(part.column("text"))]
+    return pa.array(nodes, pa.int64())

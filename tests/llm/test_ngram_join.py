@@ -129,3 +129,24 @@ def test_connected_components(spark):
     found = {r.node: r.label for r in connected_components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert found == {x: find(x) for x in root}
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_node_column_cuts_its_batches(spark, monkeypatch):
+    """Nodes are those of whole sets, and no slice of words is larger than its bound, whatever the batch."""
+    rng = random.Random(12)
+    texts = [" ".join(rng.choice("abcdefgh") * rng.randrange(1, 9) for _ in range(rng.randrange(0, 30))) for _ in range(60)] + [None, "", " \t"]
+    sizes, sets = [], ngram_join.Shingler.sets
+
+    def watched(self, part):
+        sizes.append(sum(len(t or "") for t in part.to_pylist()))
+        return sets(self, part)
+
+    expected = [ngram_join.node_of(s) if len(s) else None for s in sets(ngram_join.Shingler(), pa.array(texts))]
+    monkeypatch.setattr(ngram_join.Shingler, "sets", watched)
+    monkeypatch.setattr(ngram_join, "SLICE_BYTES", 500)
+    found = ngram_join.node_column.func(pa.array(texts))
+    assert pa.array(found).to_pylist() == expected
+    assert len(sizes) > 5 and max(sizes) <= 500
+    monkeypatch.undo()
+    rows = spark.createDataFrame([(t,) for t in texts], "text string").select("text", ngram_join.node_column("text").alias("node")).collect()
+    assert [(r.text, r.node) for r in rows] == list(zip(texts, expected))
