@@ -37,6 +37,8 @@ SMOOTHING = 0.5
 FLUSH = 100_000
 #: Characters of words whose n-grams are counted at a time.
 CHUNK_CHARS = 500_000
+#: Texts are scored in slices of this many bytes, and the scores of their words summed for about this many at a time.
+SLICE_BYTES, MOST_PIECES = 4_000_000, 200_000
 COUNTS = "kind int, lang string, item string, n long"
 
 
@@ -63,6 +65,15 @@ def _pieces(texts: pa.Array) -> tuple[np.ndarray, list[str], np.ndarray]:
     return encoded.indices.to_numpy(), distinct, bounds - bounds[0]
 
 
+def _runs(bounds: np.ndarray) -> Iterator[tuple[int, int]]:
+    """(first, end) of the texts that hold ``MOST_PIECES`` pieces together; a longer one alone."""
+    a = 0
+    while a < len(bounds) - 1:
+        b = max(a + 1, int(np.searchsorted(bounds, bounds[a] + MOST_PIECES, side="right")) - 1)
+        yield a, b
+        a = b
+
+
 def count_grams(words: Sequence[str], langs: Sequence[str], n: Sequence[int]) -> Iterator[tuple[int, tuple]]:
     """(size, (langs, grams, counts)) of the n-grams of ``words``, each of which counts ``n`` times.
 
@@ -182,10 +193,13 @@ class LanguageModel:
         lettered = np.array([any(map(str.isalpha, p)) for p in distinct] or [False])
         if not self.langs or not len(index):
             return [UNDETERMINED] * len(texts), [0.0] * len(texts)
-        scores = self.scores([normal_form(p) for p in distinct])[index]
-        # One more row keeps the bounds of trailing empty texts valid.
-        sums = np.add.reduceat(np.vstack([scores, np.zeros(len(self.langs))]), bounds[:-1], axis=0)
-        letters = np.add.reduceat(np.append(lettered[index], False).astype(int), bounds[:-1]) > 0
+        scores = self.scores([normal_form(p) for p in distinct])
+        sums, letters = np.zeros((len(texts), len(self.langs))), np.zeros(len(texts), bool)
+        for a, b in _runs(bounds):
+            part, begins = index[bounds[a] : bounds[b]], bounds[a:b] - bounds[a]
+            # One more row keeps the bounds of trailing empty texts valid.
+            sums[a:b] = np.add.reduceat(np.vstack([scores[part], np.zeros(len(self.langs))]), begins, axis=0)
+            letters[a:b] = np.add.reduceat(np.append(lettered[part], False).astype(int), begins) > 0
         letters &= np.diff(bounds) > 0
         best = sums.argmax(axis=1)
         share = 1 / np.exp(np.clip(sums - sums.max(axis=1, keepdims=True), -50, 0)).sum(axis=1)
@@ -236,7 +250,7 @@ def with_language(docs: DataFrame, model: LanguageModel, text: str = "text") ->
     schema = docs.select(*kept).schema.add("lang_pred", "string").add("score", "double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, text):
+        for batch in slices(batches, text, SLICE_BYTES):
             names, scores = sent.value.predict(batch.column(text))
             columns = [batch.column(c) for c in kept]
             columns += [pa.array(names, pa.string()), pa.array(scores, pa.float64())]

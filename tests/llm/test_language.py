@@ -1,6 +1,7 @@
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from precedent.llm import language
@@ -128,3 +129,25 @@ def test_each_language_has_a_bound_of_its_own(spark):
     assert sorted(sample.collect()) == sorted(language.training_sample(table.repartition(7), 20_000).collect())
     model = language.train(table, 20_000)
     assert model.langs == ["de", "el"] and model.word("λόγος").argmax() == 1
+
+
+def test_scores_of_words_are_summed_in_runs_of_bounded_size(monkeypatch):
+    """The same answers as for all texts at once, with no more than a bounded number of scores side by side."""
+    rng = np.random.default_rng(5)
+    items = {0: {"house": [9, 1], "haus": [1, 9], "und": [2, 8]}, 1: {"h": [3, 2], "u": [1, 4]}}
+    model = language.LanguageModel(["de", "en"], {k: np.array([20.0, 20.0]) for k in (0, 1, 2, 3, 4)}, items)
+    pool = ["house", "haus", "und", "uh", "12", "--"]
+    texts = [" ".join(rng.choice(pool, rng.integers(0, 9))) for _ in range(300)] + [None, "", " ".join(pool * 20), "haus", "", None]
+    texts = pa.array(texts, pa.string())
+    alone = [model.predict(texts.slice(i, 1)) for i in range(len(texts))]
+    most, stacked = [], np.vstack
+
+    def watched(parts):
+        most.append(len(parts[0]))
+        return stacked(parts)
+
+    monkeypatch.setattr(language, "MOST_PIECES", 40, raising=False)
+    monkeypatch.setattr(np, "vstack", watched)
+    names, scores = model.predict(texts)
+    assert names == [n for found, _ in alone for n in found] and scores == [s for _, found in alone for s in found]
+    assert len(most) > 20 and sorted(most)[-2] <= 40 and max(most) == 120
