@@ -223,3 +223,28 @@ def test_entries_come_in_few_large_pieces(wanted):
     row, column = np.nonzero(np.round(unit[0][asked] @ unit[1].T, 9) >= 0.8)
     assert {(q, t) for p in pieces for q, t in zip(p[0].tolist(), p[1].tolist())} == set(zip(asked[row].tolist(), column.tolist()))
     assert len(pieces) == 1 and 100 < sum(len(p[0]) for p in pieces) < side.EXACT
+
+
+def test_vectors_are_made_once_for_the_cells(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("array<double>")
+    def vector(i):
+        made.add(1)
+        return [float(i % 7), float(i % 5), 1.0]
+
+    tickets = spark.range(400).select(F.col("id").cast("string").alias("ticket_id"), vector("id").alias("vector"))
+    assigned, cells = dense.build_cells(tickets, 4)
+    assert assigned.count() == cells.n.sum() == 400
+    assert made.value == 400
+
+
+def test_entries_that_reach_are_found_in_pieces_of_any_size():
+    side = dense.DenseCandidates(pa.table({"vector": [[1.0, 0.0]]}), dense.COSINE)
+    draw = np.random.default_rng(1)
+    for cells in (1000, 999, 17, 16, 9, 8, 7, 1):
+        for share in (0.0, 0.01, 1.0):
+            side.reached[:1008] = True  # what an earlier, larger piece may have left
+            side.reached[:cells] = draw.random(cells) < share
+            expected = np.flatnonzero(side.reached[:cells])
+            assert side._hits(cells).tolist() == expected.tolist()
