@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from precedent.llm.common import Tables, fold_column, slices
+from precedent.llm.common import Tables, fold_column, slices, trimmed
 from precedent.session import ship_package
 
 UNDETERMINED = "und"
@@ -125,7 +125,7 @@ def count_items(labelled: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()
-        for batch in slices(batches, "text"):
+        for batch in slices(trimmed(batches), "text"):
             index, distinct, bounds = _pieces(batch.column("text"))
             langs = batch.column("lang").dictionary_encode()
             names = langs.dictionary.to_pylist()
@@ -250,7 +250,7 @@ def with_language(docs: DataFrame, model: LanguageModel, text: str = "text") ->
     schema = docs.select(*kept).schema.add("lang_pred", "string").add("score", "double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, text, SLICE_BYTES):
+        for batch in slices(trimmed(batches), text, SLICE_BYTES):
             names, scores = sent.value.predict(batch.column(text))
             columns = [batch.column(c) for c in kept]
             columns += [pa.array(names, pa.string()), pa.array(scores, pa.float64())]

@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from precedent.llm.common import Tables, slices
+from precedent.llm.common import Tables, slices, trimmed
 from precedent.llm.components import connected_components
 from precedent.session import ship_package
 
@@ -141,7 +141,7 @@ def shingle_rows(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler()
         seen: set[int] = set()  # a task passes the head of each node on once
-        for batch in slices(batches, "text", SLICE_BYTES):
+        for batch in slices(trimmed(batches), "text", SLICE_BYTES):
             sets = shingler.sets(batch.column("text"))
             sizes = [len(s) for s in sets]
             nodes = [node_of(s) if len(s) else None for s in sets]
@@ -160,7 +160,7 @@ def hot_shingles(nodes: DataFrame) -> np.ndarray:
     """Shingles known to be costly from counts inside tasks; a bounded number (see HOT_SHARE)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in trimmed(batches):
             if not batch.num_rows:
                 continue
             tokens, counts = np.unique(_prefixes(batch)[0], return_counts=True)
@@ -253,7 +253,7 @@ def prefix_tokens(nodes: DataFrame, hot: np.ndarray, whole: bool) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in trimmed(batches):
             rows = []
             for at, (node, n, head, is_hot) in enumerate(_flagged(batch, hot)):
                 length, m = _prefix(batch, at, n, head, is_hot)
@@ -268,7 +268,7 @@ def prefix_facts(nodes: DataFrame, hot: np.ndarray) -> DataFrame:
     """(node, n, slack, rest, hot) of the same prefixes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in trimmed(batches):
             rows = []
             for at, (node, n, head, is_hot) in enumerate(_flagged(batch, hot)):
                 length, m = _prefix(batch, at, n, head, is_hot)
@@ -287,7 +287,7 @@ def hot_tokens(nodes: DataFrame, hot: np.ndarray) -> DataFrame:
     """(token, node) of the hot tokens in plain prefixes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in trimmed(batches):
             rows = []
             for node, n, head, is_hot in _flagged(batch, hot):
                 base = shortest(n)
@@ -311,7 +311,7 @@ def meetings(tokens: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held_t, held_n = np.zeros(0, np.int64), np.zeros(0, np.int64)
         costly = None  # the token of the open run if it is costly already
-        for batch in batches:
+        for batch in trimmed(batches):
             t = np.concatenate([held_t, batch.column("token").to_numpy()])
             n = np.concatenate([held_n, batch.column("node").to_numpy()])
             if not len(t):
@@ -412,7 +412,7 @@ def whole_sets(
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler()
         made: set[int] = set()
-        for batch in slices(batches, "text", SLICE_BYTES):
+        for batch in slices(trimmed(batches), "text", SLICE_BYTES):
             node = batch.column("node").to_pylist()
             # Another text of the same id has another name.
             rows = [
@@ -443,7 +443,7 @@ def exact_links(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, tables: Tab
     sets = whole_sets(wanted, nodes, docs, tables, "checked").withColumnRenamed("head", "set")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in trimmed(batches):
             keep = []
             for x, y in zip(batch.column("set_a"), batch.column("set_b")):
                 x, y = x.values.to_numpy(), y.values.to_numpy()
