@@ -51,6 +51,8 @@ SPARE = 32
 HOT_SHARE, HOT_LEAST = 0.01, 24
 #: Texts are cut into words in slices of this many bytes, which take some 15 times as much for a moment.
 SLICE_BYTES = 2_000_000
+#: Words whose hashes a task remembers, of some 200 bytes each; beyond that it begins anew.
+KNOWN_WORDS = 100_000
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
 
@@ -77,7 +79,7 @@ class Shingler:
         found = list(map(self.known.get, pieces))
         for i, h in enumerate(found):
             if h is None:
-                if len(self.known) >= 300_000:
+                if len(self.known) >= KNOWN_WORDS:
                     self.known.clear()
                 found[i] = self.known[pieces[i]] = _word_hash(pieces[i])
         return np.array(found, np.uint64)

@@ -150,3 +150,12 @@ def test_node_column_cuts_its_batches(spark, monkeypatch):
     monkeypatch.undo()
     rows = spark.createDataFrame([(t,) for t in texts], "text string").select("text", ngram_join.node_column("text").alias("node")).collect()
     assert [(r.text, r.node) for r in rows] == list(zip(texts, expected))
+
+
+def test_remembered_words_are_bounded_and_change_no_hash(monkeypatch):
+    texts = pa.array([" ".join(f"w{i}" for i in range(150_000))])
+    shingler = ngram_join.Shingler()
+    expected = shingler.sets(texts)[0]
+    assert len(shingler.known) <= 100_000
+    monkeypatch.setattr(ngram_join, "KNOWN_WORDS", 50)
+    assert np.array_equal(ngram_join.Shingler().sets(texts)[0], expected)
