@@ -248,3 +248,29 @@ def test_entries_that_reach_are_found_in_pieces_of_any_size():
             side.reached[:cells] = draw.random(cells) < share
             expected = np.flatnonzero(side.reached[:cells])
             assert side._hits(cells).tolist() == expected.tolist()
+
+
+def test_pairs_of_blocks_get_tasks_of_their_own(spark, monkeypatch):
+    """Tasks grow with what is compared, not with the shuffle partitions or the bytes of the blocks."""
+    tickets, queries = data(11, 240, 200)
+    rows, asked = table(spark, "ticket_id", tickets), table(spark, "query_id", queries)
+    assigned, cells = dense.build_cells(rows, 6)
+    monkeypatch.setattr(dense, "TASK_PAIRS", 1000)
+    floored = asked.withColumn("floor", F.lit(None).cast("double"))
+    every = lambda distances, held, floor: np.ones(distances.shape, bool) & (held.n > 0)
+    hits = dense.reached_hits(assigned, floored, cells, every, 3, dense.COSINE, 16)
+    assert hits.select(F.spark_partition_id()).distinct().count() > 30
+    assert_same(collected(dense._ranked(hits, 3)), brute_force(tickets, queries, 3, dense.COSINE))
+
+
+def test_pairs_are_dealt_evenly(monkeypatch):
+    monkeypatch.setattr(dense, "TASK_PAIRS", 1 << 20)
+    rng = np.random.default_rng(2)
+    tickets, asked = rng.integers(1, 4000, 300), rng.integers(1, 4000, 300)
+    blocks = -(-tickets // 512), -(-asked // 512)
+    first, tasks = dense.number_pairs(tickets, asked, *blocks, least=4)
+    n = blocks[0] * blocks[1]
+    number = np.concatenate([np.arange(f, f + k) for f, k in zip(first, n)])
+    assert sorted(number.tolist()) == list(range(n.sum()))
+    load = np.bincount(number % tasks, weights=np.repeat(tickets * asked / n, n))
+    assert load.max() < 2 * load.mean() and tasks >= (tickets * asked).sum() / (1 << 20) - 1
