@@ -29,6 +29,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -191,22 +192,14 @@ def suffix_ranks(stream: np.ndarray, length: int) -> np.ndarray:
     return rank
 
 
-class WordHashes(dict):
+class WordHashes:
     """64-bit hash of each word, the same in every task."""
 
-    MOST = 1_000_000
-
-    def __missing__(self, word: str) -> int:
-        if len(self) >= self.MOST:
-            self.clear()
-        found = self[word] = xxhash.xxh3_64_intdigest(word)
-        return found
-
-    def of(self, words: list[str]) -> np.ndarray:
-        """The hash of each word, looked up once for each distinct one."""
-        encoded = pa.array(words, pa.string()).dictionary_encode()
-        distinct = encoded.dictionary.to_pylist()
-        return np.fromiter(map(self.__getitem__, distinct), np.uint64, len(distinct))[encoded.indices.to_numpy()]
+    def of(self, words: pa.Array) -> np.ndarray:
+        """The hash of each word, made once for each distinct one."""
+        encoded = words.dictionary_encode()
+        distinct = encoded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        return np.fromiter(map(xxhash.xxh3_64_intdigest, distinct), np.uint64, len(distinct))[encoded.indices.to_numpy()]
 
 
 def mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -219,7 +212,7 @@ def mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 class Runs(NamedTuple):
     """Runs of the pages of a batch, in order of their first word."""
 
-    words: list[str]
+    words: pa.Array
     page: np.ndarray  # page of each word
     block: np.ndarray  # block of each word
     short: np.ndarray  # whether each word's block is short
@@ -229,12 +222,16 @@ class Runs(NamedTuple):
     anchor: np.ndarray  # least hash inside each run
 
 
-def runs_of(texts: list[str], hosts: np.ndarray, hashes: WordHashes) -> Runs:
+def runs_of(texts: pa.Array | list[str], hosts: np.ndarray, hashes: WordHashes) -> Runs:
     """Runs of texts with a block a line; hashes of different hosts differ."""
-    blocks = [t.split("\n") if t else [] for t in texts]
-    words = [w for own in blocks for b in own for w in b.split(" ")]
-    sizes = np.array([b.count(" ") + 1 for own in blocks for b in own], np.int64)
-    page = np.repeat(np.repeat(np.arange(len(texts)), [len(own) for own in blocks]), sizes)
+    texts = pc.fill_null(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()), "")
+    filled = np.nonzero(pc.binary_length(texts).to_numpy(zero_copy_only=False))[0]  # an empty text has no block
+    blocks = pc.split_pattern(texts.take(pa.array(filled)), "\n")
+    lists = pc.split_pattern(blocks.flatten(), " ")
+    words = lists.flatten()
+    sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+    lines = pc.list_value_length(blocks).to_numpy(zero_copy_only=False).astype(np.int64)
+    page = np.repeat(np.repeat(filled, lines), sizes)
     block = np.repeat(np.arange(len(sizes)), sizes)
     n = len(words)
     left = np.repeat(np.cumsum(sizes), sizes) - np.arange(n)
@@ -299,7 +296,7 @@ class Pages:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             hashes = WordHashes()
             for batch in slices(batches, "text"):
-                runs = runs_of(batch.column("text").to_pylist(), batch.column("host").to_numpy(), hashes)
+                runs = runs_of(batch.column("text"), batch.column("host").to_numpy(), hashes)
                 yield pa.RecordBatch.from_arrays([pa.array(choose(runs, batch))], names=["key"])
 
         return pages.where("first").mapInArrow(run, "key long").groupBy("key").agg(F.count("*").alias("n"))
@@ -322,7 +319,7 @@ class Pages:
             def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 hashes = WordHashes()
                 for batch in slices(batches, "text"):
-                    runs = runs_of(batch.column("text").to_pylist(), batch.column("host").to_numpy(), hashes)
+                    runs = runs_of(batch.column("text"), batch.column("host").to_numpy(), hashes)
                     values = getattr(runs, field)
                     keep = once_a_page(runs, values, sent.value.of(values)[0] < 2)
                     rid = batch.column("rid").to_numpy()[runs.page[runs.at[keep]]]
@@ -416,7 +413,7 @@ def main_texts(pages: DataFrame, most: int = BROADCAST_RUNS) -> DataFrame:
         """(rid, first, key) of the pages' runs whose least hash repeats."""
         hashes = WordHashes()
         for batch in slices(batches, "text"):
-            runs = runs_of(batch.column("text").to_pylist(), batch.column("host").to_numpy(), hashes)
+            runs = runs_of(batch.column("text"), batch.column("host").to_numpy(), hashes)
             at = once_a_page(runs, runs.key, anchor_counts(runs, batch)[0] > 1)
             page = pa.array(runs.page[runs.at[at]])
             columns = [batch.column("rid").take(page), batch.column("first").take(page), pa.array(runs.key[at])]
@@ -451,7 +448,7 @@ def main_texts(pages: DataFrame, most: int = BROADCAST_RUNS) -> DataFrame:
         hashes = WordHashes()
         for batch in slices(batches, "text"):
             texts = batch.column("text").to_pylist()
-            runs = runs_of(texts, batch.column("host").to_numpy(), hashes)
+            runs = runs_of(batch.column("text"), batch.column("host").to_numpy(), hashes)
             n, m = all_counts(runs, batch)
             inside = batch.column("article").to_numpy(zero_copy_only=False)[runs.page[runs.at]]
             cut = covered(runs, wide_runs(runs, n, batch) | ((m > 1) & ~inside))
@@ -461,8 +458,9 @@ def main_texts(pages: DataFrame, most: int = BROADCAST_RUNS) -> DataFrame:
             for row in np.unique(runs.page[cut]).tolist():
                 begin, end = np.searchsorted(runs.page, [row, row + 1])
                 lines: dict[int, list[str]] = {}
-                for at in (begin + np.nonzero(~cut[begin:end])[0]).tolist():
-                    lines.setdefault(runs.block[at], []).append(runs.words[at])
+                left = begin + np.nonzero(~cut[begin:end])[0]
+                for line, word in zip(runs.block[left].tolist(), runs.words.take(pa.array(left)).to_pylist()):
+                    lines.setdefault(line, []).append(word)
                 texts[row] = "\n".join(map(" ".join, lines.values()))
             columns = [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, names=["page_id", "url", "text", "n_chars"])

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 
 from precedent.llm import html_extract as he
 
@@ -108,3 +109,16 @@ def test_broken_tags_take_linear_time():
 def test_tags_with_open_quotes_end_at_the_next_bracket():
     blocks = [text for text, *_ in he.blocks_of("<p>one</p><p class='x>two</p><p>three <b>bold</b></p> 1 < 2 <")]
     assert "two" in " ".join(blocks) and "three bold" in " ".join(blocks) and blocks[-1].endswith("1 < 2 <")
+
+
+def test_runs_are_made_from_arrow_texts():
+    texts = ["a b c d\né f  g", "", None, "x", "a b c d e f g h i\n\nz"]
+    blocks = [t.split("\n") if t else [] for t in texts]
+    lines = [(page, b.split(" ")) for page, own in enumerate(blocks) for b in own]
+    runs = he.runs_of(pa.array(texts), np.arange(5), he.WordHashes())
+    assert runs.words.to_pylist() == [w for _, line in lines for w in line]
+    assert runs.page.tolist() == [page for page, line in lines for _ in line]
+    assert runs.block.tolist() == [k for k, (_, line) in enumerate(lines) for _ in line]
+    assert runs.at.tolist() == [0, 4, 9, 10] and runs.length.tolist() == [4, 4, 8, 8]
+    none = he.runs_of(pa.array([None, ""], pa.string()), np.arange(2), he.WordHashes())
+    assert not len(none.words) and not len(none.at)
