@@ -234,12 +234,13 @@ class BatchEncoder:
         found = self.known.get(piece)
         if found is not None:
             return found
-        if piece[-1:] in (".", ",") and piece[-2:-1].isalpha():
-            return self._piece(piece[:-1]) + self._piece(piece[-1])
-        if "\n" in piece:
-            head, _, rest = piece.partition("\n")
-            if head and rest and not head[-1].isspace() and not rest[0].isspace():
-                return self._piece(head) + self._piece("\n") + self._piece(rest)
+        if not piece[1:].isalpha():  # else there is nothing to cut
+            if piece[-1:] in (".", ",") and piece[-2:-1].isalpha():
+                return self._piece(piece[:-1]) + self._piece(piece[-1])
+            if "\n" in piece:
+                head, _, rest = piece.partition("\n")
+                if head and rest and not head[-1].isspace() and not rest[0].isspace():
+                    return self._piece(head) + self._piece("\n") + self._piece(rest)
         found = array("I", self.encode_piece(piece)).tobytes()
         if len(piece) <= CACHE_CHARS:
             if len(self.known) >= CACHE_PIECES:

@@ -53,10 +53,12 @@ def library_encoder(path: str) -> BatchEncoder:
             raise ValueError("not a byte-level tokenizer without normalizer")
 
         model, of_byte = library.model, {b: c for c, b in byte_alphabet().items()}
+        space = of_byte[ord(" ")]
 
         def piece(text: str) -> list[int]:
             if text[:1] == " " and text[1:].isalpha():
-                raw = text.encode().decode("latin-1").translate(of_byte)
+                # ASCII letters stand for themselves.
+                raw = space + text[1:] if text.isascii() else text.encode().decode("latin-1").translate(of_byte)
                 return [token.id for token in model.tokenize(raw)]
             ids: list[int] = []
             for word in PATTERN.findall(text):

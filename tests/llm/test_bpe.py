@@ -142,3 +142,11 @@ def test_token_files_are_read_by_part(spark, tmp_path):
     one = token_files.read_tokens(spark, path).where("doc_id = 17").select("n_tokens")
     plan = one._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(doc_id,17)" in plan and "token_ids" not in plan.split("ReadSchema")[1]
+
+
+def test_pieces_of_letters_are_those_of_the_library():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    texts = ["plain words here.\nNext one, and", "été naïve ß straße", "a\nb 你好 mixedéx", "", "x1 don't ,. A"]
+    library = Tokenizer.from_file(path)
+    found = token_files.library_encoder(path).encode(pa.array(texts))
+    assert [np.frombuffer(b, "<u4").tolist() for b in found] == [library.encode(t, add_special_tokens=False).ids for t in texts]
