@@ -274,3 +274,20 @@ def test_pairs_are_dealt_evenly(monkeypatch):
     assert sorted(number.tolist()) == list(range(n.sum()))
     load = np.bincount(number % tasks, weights=np.repeat(tickets * asked / n, n))
     assert load.max() < 2 * load.mean() and tasks >= (tickets * asked).sum() / (1 << 20) - 1
+
+
+def test_a_query_that_probes_many_cells_is_moved_once_per_pack(spark, monkeypatch):
+    tickets, queries = data(13, 120, 20)
+    asked = table(spark, "query_id", queries)
+    assigned, cells = dense.build_cells(table(spark, "ticket_id", tickets), 10)
+    moved, dealt = [], dense._dealt
+
+    def recorded(rows, tasks, *columns):
+        if "query_id" in columns:
+            moved.append(rows.count())
+        return dealt(rows, tasks, *columns)
+
+    monkeypatch.setattr(dense, "_dealt", recorded)
+    found = dense.dense_top_k(assigned, asked, 3, cells=cells, n_probe=dense.MAX_CELLS)
+    assert moved == [len(queries)]
+    assert_same(collected(found), brute_force(tickets, queries, 3, dense.EXP_NEG_SQ_L2))
