@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from precedent.session import fresh_path
+from precedent.session import Tables  # noqa: F401  the operators here take it from this module
 
 #: White space of the word rule ``[^\x20\x09-\x0D]+``.
 WORD_SPACE = " \t\n\x0b\x0c\r"
@@ -92,42 +92,3 @@ def _views(array: pa.Array) -> Iterator:
 def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     """The texts of a batch, null as the empty text."""
     return [t or "" for t in batch.column(column).to_pylist()]
-
-
-class Tables:
-    """Intermediate tables of one run, in a folder of their own under the shared folder.
-
-    Later queries read the stored table, so the shuffle files of a write are deleted as it ends. Rows go to Python in
-    batches of 8 MB, since rows that hold whole sets would fill some 64 MB a task on both sides.
-    """
-
-    SETTINGS = {
-        "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
-        "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
-    }
-
-    def __init__(self, spark: SparkSession, name: str):
-        self.spark, self.folder = spark, fresh_path(spark, name)
-        self.paths: dict[str, str] = {}
-        self.made = 0
-
-    def store(self, df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
-        """``df``, written once and read again. ``name`` stands for the newest table of that name."""
-        self.made += 1
-        path = f"{self.folder}/{name}-{self.made}"
-        before = {key: self.spark.conf.get(key) for key in self.SETTINGS}
-        try:
-            for key, value in self.SETTINGS.items():
-                self.spark.conf.set(key, value)
-            df.write.option("compression", codec).parquet(path)
-        finally:
-            for key, value in before.items():
-                self.spark.conf.set(key, value)
-        self.paths[name] = path
-        return self.spark.read.parquet(path)
-
-    def drop(self, *names: str) -> None:
-        """Delete the newest tables of these names; nothing may read them any more."""
-        for name in names:
-            path = self.spark._jvm.org.apache.hadoop.fs.Path(self.paths.pop(name))
-            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -3,6 +3,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -144,3 +145,68 @@ def test_the_search_runs_once_where_lists_are_filled(spark):
     found = collected(lexical.fill_to_k(ranked.mapInArrow(count, ranked.schema), ids, ["D0", "D2"], 2))
     assert found == {"Q1": [("D2", 0.5), ("D0", 0.0)], "Q2": [("D0", 0.0), ("D2", 0.0)]}
     assert read.value == 1
+
+
+def known_weights(documents):
+    """The weights of ``(key, text)`` rows by their definition; texts of one key count together."""
+    counts = {}
+    for key, text in documents:
+        counts.setdefault(key, Counter()).update(re.findall(lexical.TOKEN_PATTERN, (text or "").lower()))
+    df = Counter(term for c in counts.values() for term in c)
+    found = {}
+    for key, c in counts.items():
+        w = {t: n * (math.log((len(documents) + 1) / (df[t] + 1)) + 1) for t, n in c.items()}
+        norm = math.sqrt(sum(x * x for x in w.values()))
+        if w:
+            order = sorted(w, key=lambda t: (df[t], t.encode()))
+            found[key] = order, [w[t] / norm for t in order]
+    return found
+
+
+@pytest.mark.parametrize("frequent_bytes", [1 << 24, 600, 0])
+def test_weights_whether_frequencies_are_broadcast_or_joined(spark, monkeypatch, frequent_bytes):
+    """Keys that repeat or are null, texts that are null or without a term, a very long term."""
+    monkeypatch.setattr(lexical, "FREQUENT_BYTES", frequent_bytes)
+    documents = texts(5, 60, 40, copies=9)
+    documents += documents[20:24] + [(None, "w7 ä ö w190"), (None, "w7 only here"), ("E", None), ("F", "...")]
+    documents += [(f"G{i}", "long " + 300 * "x") for i in range(3)]
+    rows = spark.createDataFrame(documents, "ticket_id string, text string")
+    found = lexical.tfidf(rows, "ticket_id", "text")[0].collect()
+    expected = known_weights(documents)
+    assert len(found) == len(expected)
+    for r in found:
+        terms, values = expected[r.ticket_id]
+        assert r.terms == terms
+        assert r.weights == pytest.approx(values, abs=1e-12)
+
+
+def test_pieces_hold_all_rows_and_few_terms(monkeypatch):
+    monkeypatch.setattr(lexical, "PIECE_TERMS", 5)
+    lists = [["a"], ["b", "c", "d"], [], ["e"] * 9, None, ["f"], ["g"] * 5]
+    batch = pa.record_batch({"k": list(range(7)), "terms": pa.array(lists, pa.list_(pa.string()))})
+    pieces = list(lexical._pieces([batch]))
+    assert [x for p in pieces for x in p["terms"].to_pylist()] == lists
+    assert all(p.num_rows == 1 or sum(len(x or []) for x in p["terms"].to_pylist()) <= 5 for p in pieces)
+
+
+def test_no_texts_have_no_weights(spark):
+    rows = spark.createDataFrame([], "ticket_id string, text string")
+    forward, vocab, n = lexical.tfidf(rows, "ticket_id", "text")
+    assert (forward.count(), vocab.count(), n) == (0, 0, 0)
+
+
+def test_frequent_terms_are_not_moved(spark, monkeypatch):
+    """Of the entries only those of rare terms are joined; with all frequencies broadcast there is no join."""
+    moved, join = [], salted_join
+
+    def recorded(rows, *rest, **options):
+        moved.append(rows.count())
+        return join(rows, *rest, **options)
+
+    monkeypatch.setattr(lexical, "salted_join", recorded)
+    rows = spark.createDataFrame([(f"D{i}", f"a b c d r{i // 2} s{i}") for i in range(40)], "ticket_id string, text string")
+    lexical.tfidf(rows, "ticket_id", "text")
+    assert moved == []
+    monkeypatch.setattr(lexical, "FREQUENT_BYTES", 100)
+    lexical.tfidf(rows, "ticket_id", "text")
+    assert moved == [80]
