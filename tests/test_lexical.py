@@ -210,3 +210,32 @@ def test_frequent_terms_are_not_moved(spark, monkeypatch):
     monkeypatch.setattr(lexical, "FREQUENT_BYTES", 100)
     lexical.tfidf(rows, "ticket_id", "text")
     assert moved == [80]
+
+
+def test_queries_go_in_waves_that_leave_nothing_behind(spark, monkeypatch):
+    """The best k of all waves, with what was moved and kept for each of them deleted."""
+    monkeypatch.setattr(lexical, "WAVE_POSTINGS", 40)
+    kept, waves, block_hits = [], [], lexical.block_hits
+
+    def recorded(forward, queries, *rest):
+        waves.append(queries.count())
+        kept.append(rest[-1])
+        return block_hits(forward, queries, *rest)
+
+    monkeypatch.setattr(lexical, "block_hits", recorded)
+    documents, queries = texts(6, 80, 40, copies=20), texts(7, 21, 0)
+    forward, asks = weights(spark, documents, queries)
+    found = lexical.lexical_top_k(forward, asks, 4, broadcast_queries=0, block_postings=60, block_queries=4)
+    assert_same(collected(found), brute_force(documents, queries, 4))
+    assert len(waves) > 2 and sum(waves) == 21
+    assert list(kept[0].paths) == ["hits"]
+
+
+def test_only_terms_that_are_asked_for_are_moved(spark):
+    documents, queries = texts(8, 30, 40), [("Q", "w1 w2 w3"), ("R", "w2 w9")]
+    forward, asks = weights(spark, documents, queries)
+    terms = asks.select(F.explode("terms").alias("term")).distinct()
+    left = {r.ticket_id: dict(zip(r.terms, r.weights)) for r in lexical._asked_terms_only(forward, terms).collect()}
+    whole = {r.ticket_id: dict(zip(r.terms, r.weights)) for r in forward.collect()}
+    expected = {t: {w: x for w, x in v.items() if w in {"w1", "w2", "w3", "w9"}} for t, v in whole.items()}
+    assert left == {t: v for t, v in expected.items() if v}
