@@ -11,6 +11,7 @@ from precedent.errors import (
     VectorizerMismatch,
 )
 from precedent.operators.vectorize import embed_function
+from precedent.sources import index_store
 from precedent.sources.index_store import remove_old_versions
 from tests.helpers import TICKETS, tickets
 
@@ -262,3 +263,22 @@ def test_a_lost_or_cut_file_is_noticed(spark, tmp_path, table, cut):
     assert status(spark, str(path)) == ("unavailable", "retrieval_unavailable", 0)
     with pytest.raises(RetrievalUnavailable):
         open_index(spark, str(path))
+
+
+def test_a_lexical_index_keeps_no_counts_and_no_shuffle_files(spark, tmp_path, monkeypatch):
+    """What a build needs on its way is deleted; the settings of the session stay as they were."""
+    settings, setting = index_store.settings, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    given, before = [], spark.conf.get(setting)
+
+    def recorded(session, values):
+        given.append(values[setting])
+        return settings(session, values)
+
+    monkeypatch.setattr(index_store, "settings", recorded)
+    index = build_index(tickets(spark), str(tmp_path / "index"), tf_idf())
+    stored = set(os.listdir(tmp_path / "index" / index.folder))
+    assert stored == {"tickets", "vocabulary", "forward", "heads", "block_terms", "seal"}
+    assert given == ["true"] * 5
+    assert spark.conf.get(setting) == before
+    asked = issues(spark, "The badge was refused", "Printer jobs vanish")
+    assert retrieve(index, asked, tf_idf(), 3, broadcast_queries=0).count() == 6
